@@ -73,11 +73,12 @@ def assign_clusters(df: DataFrame, id_col: str, vector_col: str, centroids: Data
 
     nearest = F.array_min(
         F.transform(
-            packed,
+            F.col("_centroids"),
             lambda c: F.struct(F.round(F.sqrt(squared(c["center"])), 6).alias("distance"), c["cluster"].alias("cluster")),
         )
     )
-    return df.select(id_col, nearest.alias("_n")).select(id_col, F.col("_n.cluster").alias("cluster"), F.col("_n.distance").alias("distance"))
+    with_centroids = df.select(id_col, vector_col, packed.alias("_centroids"))
+    return with_centroids.select(id_col, nearest.alias("_n")).select(id_col, F.col("_n.cluster").alias("cluster"), F.col("_n.distance").alias("distance"))
 
 
 def centroids_of(df: DataFrame, vector_col: str, cluster_col: str) -> DataFrame:

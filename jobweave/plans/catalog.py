@@ -83,7 +83,7 @@ def extract_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skills by the join form, on raw text, with a vocabulary table made of product words as well."""
     words = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("term"))
-    vocabulary = words.unionByName(spark.createDataFrame([(t,) for t in TEST_SKILLS], "term string"))
+    vocabulary = words.unionByName(views.literal_rows(spark, ("term",), [(t,) for t in TEST_SKILLS]))
     return tagging.match_vocabulary(views.documents(spark, sf_dir), "doc_id", "text", vocabulary)
 
 
@@ -283,12 +283,6 @@ def match_all_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("resume_id", "job_id", *[r6(c) for c in matching.SCORE_COLUMNS], "rank")
 
 
-@register
-def match_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left, right = views.matching_sides(spark, sf_dir)
-    return matching.match_approximate(left, right, 5).select("resume_id", "job_id", r6("cosine"), "rank")
-
-
 # --- splits, models -----------------------------------------------------------------------
 
 
@@ -322,7 +316,7 @@ def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metric_row(spark: SparkSession, found: dict) -> DataFrame:
     rows = [(k, float(v)) for k, v in sorted(found.items()) if v is not None]
-    return spark.createDataFrame(rows, "metric string, value double")
+    return views.literal_rows(spark, ("metric", "value"), rows)
 
 
 @register

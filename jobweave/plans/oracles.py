@@ -205,12 +205,14 @@ _SEGMENTS = f"[{fixed.WORD_CHARACTER}]+|[^{fixed.WORD_CHARACTER}]+"
 
 
 def _phrase_hits(source: str, text: str, phrases: str) -> str:
-    """Rows doc_id, pos, phrase: neighbouring segments of a text that spell a phrase."""
+    """Rows doc_id, pos, phrase: neighbouring segments of a text that spell a phrase of up to three words."""
+    grams = "unnest([s, s || lead(s, 1) OVER w || lead(s, 2) OVER w, s || lead(s, 1) OVER w || lead(s, 2) OVER w || lead(s, 3) OVER w || lead(s, 4) OVER w])"
     return (
-        f"SELECT doc_id, i AS pos, p.phrase FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM "
-        f"(SELECT doc_id, regexp_extract_all({text}, {_q(_SEGMENTS)}) AS s FROM {source})) x "
-        f"JOIN (SELECT phrase, len(regexp_extract_all(phrase, {_q(_SEGMENTS)})) AS m FROM {phrases}) p "
-        f"ON array_to_string(s[i:i + m - 1], '') = p.phrase"
+        f"SELECT doc_id, i AS pos, p.phrase FROM (SELECT doc_id, i, {grams} AS gram FROM "
+        f"(SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS s FROM "
+        f"(SELECT doc_id, regexp_extract_all({text}, {_q(_SEGMENTS)}) AS l FROM {source})) "
+        "WINDOW w AS (PARTITION BY doc_id ORDER BY i)) x "
+        f"JOIN {phrases} p ON x.gram = p.phrase"
     )
 
 

@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
+    """A few constant rows, made inside the JVM."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -196,7 +202,7 @@ def purchase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fixed_rows = spark.createDataFrame(TEST_GAZETTEER, "label string, phrase string")
+    fixed_rows = literal_rows(spark, ("label", "phrase"), TEST_GAZETTEER)
     nations = table(spark, sf_dir, "nation").select(F.lit("GPE").alias("label"), F.lower("n_name").alias("phrase"))
     regions = table(spark, sf_dir, "region").select(F.lit("LOC").alias("label"), F.lower("r_name").alias("phrase"))
     return fixed_rows.unionByName(nations).unionByName(regions)
