@@ -97,6 +97,12 @@ def _implied(longest: str, term: str, right_edge: str) -> bool:
     return next_is_word if right_edge.startswith("(?=") else not next_is_word
 
 
+def _prefixes_of(hits: Column, shorter: Sequence[tuple[str, str]]) -> Column:
+    """The terms that stand in ``shorter`` beside one of the hits."""
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in shorter])
+    return F.transform(F.filter(pairs, lambda p: F.array_contains(hits, p["a"])), lambda p: p["b"])
+
+
 def match_terms(text: Column, terms: Sequence[str], symbol_aware: bool = False) -> Column:
     """The vocabulary terms that occur as whole words: distinct, lower case, sorted.
 
@@ -117,11 +123,7 @@ def match_terms(text: Column, terms: Sequence[str], symbol_aware: bool = False)
         hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
         shorter = [(a, b) for a in group for b in group if _implied(a, b, right)]
         if shorter:
-            pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in shorter])
-            more = F.transform(
-                F.filter(pairs, lambda p, h=hits: F.array_contains(h, p["a"])), lambda p: p["b"]
-            )
-            hits = F.concat(hits, more)
+            hits = F.concat(hits, _prefixes_of(hits, shorter))
         found = F.concat(found, hits)
     return F.coalesce(F.array_sort(F.array_distinct(found)), _empty_strings())
 

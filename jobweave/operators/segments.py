@@ -37,21 +37,21 @@ def cluster_jobs(
     Returns the fitted pipeline and ``df`` with the columns ``features`` and ``cluster``.
     Embeddings are standardised per dimension; TF-IDF vectors (1000 terms) stay sparse.
     """
+    if feature_type not in ("embeddings", "tfidf"):
+        raise ValueError("feature_type must be 'embeddings' or 'tfidf'")
+    rows = df.where(F.col(column).isNotNull())
+    clusters = _at_most(rows, k)
     if feature_type == "embeddings":
-        rows = df.where(F.col(column).isNotNull())
         prepared = rows.withColumn("_vector", array_to_vector(as_doubles(F.col(column))))
         scaler = StandardScaler(withMean=True, withStd=True, inputCol="_vector", outputCol="features")
         head, scratch = Pipeline(stages=[scaler]).fit(prepared), ["_vector"]
-    elif feature_type == "tfidf":
-        rows = df.where(F.col(column).isNotNull())
+    else:
         prepared = rows
         head, scratch = fit_tfidf_stages(
             prepared, column, "features", stop_words, bigrams=False, vocab_size=1000, min_df=5, max_df=0.7
         )
-    else:
-        raise ValueError("feature_type must be 'embeddings' or 'tfidf'")
     features = head.transform(prepared)
-    means = KMeans(k=_at_most(rows, k), seed=seed, featuresCol="features", predictionCol="cluster", **kmeans)
+    means = KMeans(k=clusters, seed=seed, featuresCol="features", predictionCol="cluster", **kmeans)
     fitted = means.fit(features)
     # Already fitted stages pass through; nothing is fitted twice.
     model = PipelineModel(stages=[*head.stages, fitted])

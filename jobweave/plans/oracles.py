@@ -384,10 +384,10 @@ def _build() -> dict[str, str]:
     out["recommend_hybrid"] = (
         sql("", "all_scores", "interactions").strip()
         + f", {content}, {peers(10)}, "
-        "both AS (SELECT resume_id AS user_id, job_id AS item_id, 0 AS source, rank FROM content UNION ALL SELECT user_id, item_id, 1, rank FROM peers), "
-        "first AS (SELECT user_id, item_id, min(source * 1000 + rank) AS at FROM both GROUP BY ALL) "
-        "SELECT user_id, item_id, CASE WHEN at < 1000 THEN 'content' ELSE 'collaborative' END AS source, rank FROM "
-        "(SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY at, item_id) AS INTEGER) AS rank FROM first) WHERE rank <= 5"
+        "merged AS (SELECT resume_id AS user_id, job_id AS item_id, 0 AS source, rank FROM content UNION ALL SELECT user_id, item_id, 1, rank FROM peers), "
+        "first AS (SELECT user_id, item_id, min(source * 1000 + rank) AS place FROM merged GROUP BY ALL) "
+        "SELECT user_id, item_id, CASE WHEN place < 1000 THEN 'content' ELSE 'collaborative' END AS source, rank FROM "
+        "(SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY place, item_id) AS INTEGER) AS rank FROM first) WHERE rank <= 5"
     )
     out["recommend_cold_start"] = sql(
         "SELECT user_id, item_id, users, rank FROM (SELECT DISTINCT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM interactions)) "

@@ -55,7 +55,10 @@ def file_name_of(path: Column) -> Column:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """The files of one folder (sub-folders are not entered) or a single file. A bad path gives no rows."""
+    """The files of one folder (sub-folders are not entered) or a single file. A bad path gives no rows.
+
+    Spark's file scan leaves out files of zero length by itself.
+    """
     from pyspark.errors import AnalysisException
 
     try:

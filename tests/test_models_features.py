@@ -1,0 +1,181 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from jobweave.functions.vectors import norm
+from jobweave.operators import features, models, segments, terms
+from jobweave.sources.models import load_model, model_or_load
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rng = random.Random(2)
+    topics = {"data": "python pandas statistics model data", "web": "react css html browser page", "ops": "docker cluster linux deploy cloud"}
+    rows = []
+    for i in range(150):
+        name = ("data", "data", "data", "web", "ops")[i % 5]
+        words = topics[name].split() + ["team", "work", "senior"]
+        rows.append((i, " ".join(rng.choice(words) for _ in range(12)), name))
+    return spark.createDataFrame(rows, "id long, text string, topic string")
+
+
+def test_tfidf_equals_hand_computation(spark):
+    frame = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (3, "dd")], "id int, t string")
+    got = {(r["id"], r["term"]): r["tfidf"] for r in terms.tfidf(frame, "id", "t", [], bigrams=False).collect()}
+    idf = {"aa": math.log(4 / 2) + 1, "bb": math.log(4 / 3) + 1}
+    length = math.hypot(2 * idf["aa"], idf["bb"])
+    assert got[(1, "aa")] == pytest.approx(2 * idf["aa"] / length)
+    assert got[(3, "dd")] == pytest.approx(1.0)
+    limited = terms.tfidf(frame, "id", "t", [], bigrams=False, min_df=2).collect()
+    assert {r["term"] for r in limited} == {"bb"}
+    top = terms.tfidf(frame, "id", "t", [], bigrams=False, max_features=1).select("term").distinct().collect()
+    assert [r["term"] for r in top] == ["aa"]
+
+
+def test_fit_rows_alone_define_the_vocabulary(spark):
+    frame = spark.createDataFrame([(1, "aa bb", True), (2, "aa cc", False), (3, "dd", None)], "id int, t string, fit boolean")
+    got = terms.tfidf(frame, "id", "t", [], bigrams=False, fit_where=F.col("fit")).collect()
+    assert {(r["id"], r["term"]) for r in got} == {(1, "aa"), (1, "bb"), (2, "aa")}
+
+
+def test_model_tfidf_equals_long_form(spark, texts):
+    head, _ = models.fit_tfidf_stages(texts, "text", "features", ["team"], bigrams=True, min_df=2.0, max_df=0.95)
+    names = head.stages[4].vocabulary
+    vectors = {r["id"]: r["a"] for r in head.transform(texts).select("id", vector_to_array("features").alias("a")).collect()}
+    for r in terms.tfidf(texts, "id", "text", ["team"], True, 2, 0.95).collect():
+        assert vectors[r["id"]][names.index(r["term"])] == pytest.approx(r["tfidf"])
+
+
+def test_cluster_without_terms_is_marked(spark):
+    frame = spark.createDataFrame([(1, "aa bb aa", 0), (2, "the", 1)], "id int, t string, c int")
+    rows = {(r["c"], r["rank"]): r["term"] for r in terms.cluster_top_terms(frame, "id", "t", "c", 2, stop_words=["the"], bigrams=False).collect()}
+    assert rows == {(0, 1): "aa", (0, 2): "bb", (1, 1): None}
+
+
+def test_hashed_embedder(spark, texts):
+    model = features.fit_hashed_embedder(texts, "text", stop_words=[])
+    once = features.embed_texts(texts, "text", model).select("id", "embedding", norm(F.col("embedding")).alias("n"))
+    rows = once.collect()
+    assert all(len(r["embedding"]) == 384 and r["n"] == pytest.approx(1.0) for r in rows)
+    again = {r["id"]: r["embedding"] for r in features.embed_texts(texts.repartition(5), "text", model).collect()}
+    assert all(r["embedding"] == again[r["id"]] for r in rows)
+    assert features.embed_texts(texts.limit(0), "text", model).count() == 0
+    with pytest.raises(Exception, match="null"):
+        features.embed_texts(spark.createDataFrame([(None,)], "text string"), "text", model).collect()
+
+
+def test_external_embedder_runs_in_batches(spark, texts):
+    def load():
+        def encode(batch: pd.Series) -> list:
+            return [[float(len(t)), 1.0] for t in batch]
+
+        return encode
+
+    for r in features.embed_with(texts, "text", load).collect():
+        assert r["embedding"] == [float(len(r["text"])), 1.0]
+
+
+def test_scaling_leaves_constant_columns(spark):
+    frame = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
+    rows = [tuple(r) for r in features.standard_scale(frame, ["a", "b"]).select("a_scaled", "b_scaled").collect()]
+    assert sorted(rows) == [(-1.0, 0.0), (1.0, 0.0)]
+    vectors = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "v array<double>")
+    scaled = [r["z"] for r in features.standard_scale_vector(vectors, "v", "z").collect()]
+    assert sorted(scaled) == [[-1.0, 0.0], [1.0, 0.0]]
+
+
+def test_one_hot_of_unseen_and_null_levels(spark):
+    train = spark.createDataFrame([(1, "b"), (2, "a")], "id int, l string")
+    new = spark.createDataFrame([(3, "b"), (4, "zz"), (5, None)], "id int, l string")
+    assert [tuple(r) for r in features.one_hot(new, "id", "l", train).collect()] == [(3, 1, "b")]
+    with pytest.raises(Exception, match="more than 1 levels"):
+        features.one_hot(new, "id", "l", train, max_levels=1).collect()
+
+
+def test_classifier_learns_and_survives_a_round_trip(spark, texts, new_dir):
+    path = f"{new_dir}/category"
+    trained = models.train_job_classifier(texts, "id", "text", "topic", path=path, stop_words=["team"])
+    assert trained.metrics["test_accuracy"] > 0.85 > 0.6
+    report = {r["label"]: r["support"] for r in trained.tables["report"].collect()}
+    assert report["data"] == 18 and report["accuracy"] == 30
+    before = models.predict_job_category(texts, trained.model).select("id", "predicted_category").orderBy("id").collect()
+    after = models.predict_job_category(texts, load_model(path)).select("id", "predicted_category").orderBy("id").collect()
+    assert before == after
+    assert models.predict_job_category(texts.limit(0), trained.model).count() == 0
+    assert models.predict_job_category(texts, trained.model).columns == ["id", "text", "topic", "predicted_category"]
+    with pytest.raises(ValueError):
+        models.train_job_classifier(texts.where("topic = 'web'"), "id", "text", "topic")
+    with pytest.raises(FileNotFoundError):
+        model_or_load(None, f"{new_dir}/nothing")
+
+
+def test_salary_model_beats_the_mean(spark):
+    rng = random.Random(4)
+    base = {"New York": 90.0, "Remote": 70.0, "Austin": 60.0}
+    rows = [(i, city := rng.choice(list(base)), y := rng.randint(1, 10), base[city] + 8.0 * y + rng.random()) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id long, location string, experience_numeric int, salary_midpoint double")
+    trained = models.train_salary_forecaster(frame, "id", rounds=40)
+    assert trained.metrics["test_r2"] > 0.9 and trained.metrics["test_mae"] < 8
+    new = spark.createDataFrame([("New York", 3), ("Nowhere", 5), ("Remote", 8)], "location string, experience_numeric int")
+    predicted = [r["predicted_salary"] for r in models.predict_salary(new, trained.model).collect()]
+    assert len(predicted) == 3 and predicted[2] == pytest.approx(134, abs=8)
+    with pytest.raises(ValueError):
+        models.predict_salary(new.limit(0), trained.model)
+    with pytest.raises(ValueError):
+        models.train_salary_forecaster(frame.limit(9), "id")
+    with pytest.raises(ValueError):
+        models.train_salary_forecaster(frame.drop("location"), "id")
+
+
+def test_acceptance_model_finds_the_planted_signal(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        score, gap, years, remote = rng.random(), rng.normal() * 10, int(rng.integers(1, 15)), int(rng.integers(0, 2))
+        logit = 6 * (score - 0.5) + gap / 5 + remote - 0.5
+        rows.append((i, float(score), float(gap), years, remote, int(rng.random() < 1 / (1 + math.exp(-logit)))))
+    columns = "id long, match_score double, salary_diff_percentage double, candidate_experience_years int, is_remote int, accepted_offer int"
+    frame = spark.createDataFrame(rows, columns)
+    trained = models.train_acceptance_predictor(frame, "id")
+    assert trained.metrics["test_roc_auc"] > 0.75
+    assert sum(r["n"] for r in trained.tables["confusion"].collect()) == trained.tables["test"].count()
+    probability = models.predict_acceptance(frame, trained.model).select("acceptance_probability").toPandas()["acceptance_probability"]
+    assert probability.between(0, 1).all() and probability.std() > 0.1
+    fewer = models.train_acceptance_predictor(frame.drop("is_remote"), "id")
+    assert "test_roc_auc" in fewer.metrics
+    with pytest.raises(ValueError):
+        models.train_acceptance_predictor(frame.where("accepted_offer = 1"), "id")
+
+
+def test_clusters(spark, texts):
+    rng = np.random.default_rng(0)
+    points = [(i, [float(v) for v in rng.normal(size=4) + 8 * (i % 3)]) for i in range(60)]
+    frame = spark.createDataFrame(points, "id long, v array<double>")
+    _, out = segments.cluster_jobs(frame, "v", 3)
+    found = out.groupBy((F.col("id") % 3).alias("g")).agg(F.count_distinct("cluster").alias("n"), F.first("cluster").alias("c")).collect()
+    assert all(r["n"] == 1 for r in found) and len({r["c"] for r in found}) == 3
+    _, few = segments.cluster_jobs(frame.limit(2), "v", 5)
+    assert few.select("cluster").distinct().count() == 2
+    points_2d, shares = segments.project_2d(out)
+    assert points_2d.columns[-2:] == ["x", "y"] and 0.9 < sum(shares) <= 1.0001
+    model, labelled = segments.cluster_jobs(texts, "text", 3, "tfidf", stop_words=[])
+    assert labelled.count() == 150 and labelled.select("cluster").distinct().count() == 3
+    again = model.transform(texts).select("id", "cluster")
+    assert again.join(labelled.select("id", "cluster"), ["id", "cluster"]).count() == 150
+    for bad in (lambda: segments.cluster_jobs(frame.limit(0), "v"), lambda: segments.cluster_jobs(frame, "v", feature_type="x")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_assignment_to_centroids_breaks_ties_by_number(spark):
+    centroids = spark.createDataFrame([(1, [0.0, 2.0]), (0, [0.0, 0.0])], "cluster int, center array<double>")
+    points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 3.0])], "id int, v array<double>")
+    got = {r["id"]: (r["cluster"], r["distance"]) for r in segments.assign_clusters(points, "id", "v", centroids).collect()}
+    assert got == {1: (0, 1.0), 2: (1, 1.0)}

@@ -1,0 +1,58 @@
+"""Every registered query against its SQL in DuckDB, and invariants for those without SQL."""
+
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
+
+from check_queries import TABLES, compare  # noqa: E402
+from conftest import SF_DIR  # noqa: E402
+
+from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+
+WITH_SQL = sorted(oracle_sql())
+WITHOUT_SQL = sorted(set(queries()) - set(WITH_SQL))
+
+
+@pytest.fixture(scope="module")
+def con():
+    connection = duckdb.connect()
+    for t in TABLES:
+        connection.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
+    return connection
+
+
+def test_every_sql_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", WITH_SQL)
+def test_equals_sql(spark, con, name):
+    text, _, _, ok = compare(spark, con, SF_DIR, name, queries()[name], oracle_sql()[name])
+    assert ok, text
+
+
+def test_entry(spark):
+    frame = entry(spark)
+    assert frame.columns == ["resume_id", "job_id", "keyword", "cosine", "learned", "score", "rank"]
+    assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name", [n for n in WITHOUT_SQL if "classifier" not in n and "category" not in n])
+def test_runs_and_holds_its_invariants(spark, name):
+    out = queries()[name](spark, SF_DIR).toPandas()
+    assert len(out)
+    if name == "embed_texts":
+        assert (out["dim"] == 384).all() and out["length"].isin([0.0, 1.0]).all()
+    if "cluster" in out.columns:
+        assert out["cluster"].nunique() <= 5 and not out["job_id"].duplicated().any()
+    for column in ("acceptance_probability", "learned"):
+        if column in out.columns:
+            assert out[column].between(0, 1).all()
+    if name == "recommend_als":
+        assert out.groupby("user_id")["rank"].max().le(5).all()
