@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobweave.operators.joins import salted_join
 from jobweave.operators.ranking import quantiles
 
 
@@ -79,10 +80,11 @@ def salary_distribution(df: DataFrame, title_col: str, salary_col: str, buckets:
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col("salary") >= F.col("q1") - reach) & (F.col("salary") <= F.col("q3") + reach)
-    stats = salaries.join(box, "title").groupBy("title", "n", "q1", "median", "q3").agg(
+    counts = salaries.groupBy("title", "salary").agg(F.count("*").alias("c"))
+    stats = salted_join(counts, box, "title", ["salary"]).groupBy("title", "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("salary"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("salary"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col("c"))).alias("outliers"),
     )
     return stats.orderBy(F.desc("median"), "title")
 

@@ -44,8 +44,18 @@ def literal_rows(spark: SparkSession, names: tuple[str, ...], rows: list[tuple])
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table stored in fewer splits than there are cores is hashed over all cores.
+
+    Text work outweighs moving such a small table. A large table has more splits than cores
+    and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def _with_embedding(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
