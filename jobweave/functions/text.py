@@ -24,6 +24,12 @@ def clean_text(text: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(stripped, fixed.WHITESPACE_PATTERN, " ")), F.lit(""))
 
 
+def has_content(text: Column) -> Column:
+    """Whether the cleaned text is not empty, found without cleaning: the search ends at the first hit."""
+    ignored = re.escape(fixed.REMOVED_PUNCTUATION) + fixed.WHITESPACE_PATTERN.removeprefix("[").removesuffix("]+")
+    return F.coalesce(text.rlike(f"[^{ignored}]"), F.lit(False))
+
+
 def preview(text: Column, chars: int = fixed.PREVIEW_CHARS) -> Column:
     """The first characters, with an ellipsis when something was cut; null gives ``''``."""
     cut = F.when(F.length(text) > chars, F.concat(F.substring(text, 1, chars), F.lit("...")))
@@ -97,10 +103,15 @@ def _implied(longest: str, term: str, right_edge: str) -> bool:
     return next_is_word if right_edge.startswith("(?=") else not next_is_word
 
 
-def _prefixes_of(hits: Column, shorter: Sequence[tuple[str, str]]) -> Column:
-    """The terms that stand in ``shorter`` beside one of the hits."""
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in shorter])
-    return F.transform(F.filter(pairs, lambda p: F.array_contains(hits, p["a"])), lambda p: p["b"])
+def _with_prefixes(hits: Column, shorter: Sequence[tuple[str, str]]) -> Column:
+    """Each hit followed by the shorter terms it implies. ``hits`` is evaluated once."""
+    implied: dict[str, list[str]] = {}
+    for longest, term in shorter:
+        implied.setdefault(longest, []).append(term)
+    table = F.create_map(*[F.lit(v) if isinstance(v, str) else F.array(*map(F.lit, v)) for kv in implied.items() for v in kv])
+    return F.flatten(
+        F.transform(hits, lambda h: F.concat(F.array(h), F.coalesce(F.element_at(table, h), _empty_strings())))
+    )
 
 
 def match_terms(text: Column, terms: Sequence[str], symbol_aware: bool = False) -> Column:
@@ -123,7 +134,7 @@ def match_terms(text: Column, terms: Sequence[str], symbol_aware: bool = False)
         hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(pattern), F.lit(1)))
         shorter = [(a, b) for a in group for b in group if _implied(a, b, right)]
         if shorter:
-            hits = F.concat(hits, _prefixes_of(hits, shorter))
+            hits = _with_prefixes(hits, shorter)
         found = F.concat(found, hits)
     return F.coalesce(F.array_sort(F.array_distinct(found)), _empty_strings())
 

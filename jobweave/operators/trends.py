@@ -13,8 +13,8 @@ from jobweave.operators.ranking import quantiles
 
 
 def to_date(value: Column) -> Column:
-    """A timestamp from a timestamp, date or string; null when it cannot be read."""
-    return value.try_cast("timestamp")
+    """The date of a timestamp, date or string; null when it cannot be read."""
+    return value.try_cast("date")
 
 
 def posting_skills(df: DataFrame, skills_col: str, keep: Sequence[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def posting_skills(df: DataFrame, skills_col: str, keep: Sequence[str]) -> DataF
 
 def skill_trends(df: DataFrame, date_col: str, skill_col: str = "skill") -> DataFrame:
     """Uses of each lower-cased skill per month: ``period, skill, count``. Takes one row per use."""
-    period = F.date_format(F.date_trunc("month", to_date(F.col(date_col))), "yyyy-MM")
+    period = F.date_format(to_date(F.col(date_col)), "yyyy-MM")
     rows = df.select(period.alias("period"), F.lower(skill_col).alias("skill"))
     return rows.dropna().groupBy("period", "skill").agg(F.count("*").alias("count"))
 
@@ -36,7 +36,7 @@ def first_period_top_skills(trends: DataFrame, n: int = 5) -> DataFrame:
 
 def demand_trends(df: DataFrame, date_col: str) -> DataFrame:
     """Postings per month, months without any included as 0: ``period, postings``."""
-    month = F.date_trunc("month", to_date(F.col(date_col))).cast("date")
+    month = F.trunc(to_date(F.col(date_col)), "month")
     counts = df.select(month.alias("month")).where(F.col("month").isNotNull()).groupBy("month").agg(
         F.count("*").alias("postings")
     )

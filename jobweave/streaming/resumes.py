@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobweave.functions import fixed
-from jobweave.functions.text import upload_preview
+from jobweave.functions.text import has_content, upload_preview
 from jobweave.operators.features import embed_texts
 from jobweave.operators.matching import match_all_topk
 from jobweave.operators.tagging import preprocess_documents
@@ -25,9 +25,10 @@ def score_resumes(
     vocabulary: Sequence[str] = tuple(fixed.DEFAULT_SKILLS),
 ) -> DataFrame:
     """Top postings per ingested document, keyed by its path, with the upload preview."""
+    usable = documents.where(has_content(F.col("raw_content")))
     resumes = preprocess_documents(
-        documents.select(F.col("source_path").alias("resume_id"), "file_name", "raw_content"), "raw_content", vocabulary
-    ).where(F.col("cleaned_text") != "")
+        usable.select(F.col("source_path").alias("resume_id"), "file_name", "raw_content"), "raw_content", vocabulary
+    )
     embedded = embed_texts(resumes, "cleaned_text", embedder)
     best = match_all_topk(embedded, jobs, n)
     shown = resumes.select("resume_id", "file_name", upload_preview(F.col("raw_content")).alias("preview"))

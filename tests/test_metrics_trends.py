@@ -37,6 +37,11 @@ def test_averages_over_classes_never_predicted(spark):
     assert len(cells) == 9 and cells[(2, 2)] == 2 and cells[(0, 1)] == 0
 
 
+def test_confusion_matrix_refuses_what_is_no_label(binary):
+    with pytest.raises(Exception, match="more than 1 classes"):
+        metrics.confusion_matrix(binary, "y", "p", max_classes=1).collect()
+
+
 def test_empty_input_is_an_error(spark, binary):
     empty = binary.limit(0)
     for fn in (metrics.classification_metrics, metrics.regression_metrics, metrics.r2_mae):

@@ -30,6 +30,11 @@ def test_clean_text(spark, raw, want):
     assert one(spark, raw, text.clean_text) == want
 
 
+@pytest.mark.parametrize("raw", [None, "", " .,;\t\n", "\x1c\u3000[]^", "-", "a", "...é", "\\", "_"])
+def test_has_content_agrees_with_cleaning(spark, raw):
+    assert one(spark, raw, text.has_content) == (one(spark, raw, text.clean_text) != "")
+
+
 def test_preview_cuts_only_long_texts(spark):
     assert one(spark, "x" * 200, text.preview) == "x" * 200
     assert one(spark, "x" * 201, text.preview) == "x" * 200 + "..."
