@@ -29,8 +29,9 @@ from jobweave.functions.rules import hash_percent, threshold_label
 from jobweave.operators import metrics
 from jobweave.operators.features import token_stages
 from jobweave.operators.splits import check_training_rows, drop_nulls, hash_split, stratified_split
-from jobweave.sources.models import save_model
+from jobweave.sources.models import model_or_load, save_model
 
+# Where scoring looks for a model when it is given none. Training saves where it is told to.
 CATEGORY_MODEL = "models/category"
 SALARY_MODEL = "models/salary"
 ACCEPTANCE_MODEL = "models/acceptance"
@@ -131,9 +132,9 @@ def train_job_classifier(
     )
 
 
-def predict_job_category(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """``df`` with ``predicted_category``; empty in, empty out."""
-    return model.transform(df)
+def predict_job_category(df: DataFrame, model: PipelineModel | None = None, path: str = CATEGORY_MODEL) -> DataFrame:
+    """``df`` with ``predicted_category``; empty in, empty out. Without a model the saved one is loaded."""
+    return model_or_load(model, path).transform(df)
 
 
 # --- salary -------------------------------------------------------------------------------
@@ -204,11 +205,11 @@ def train_salary_forecaster(
     return Trained(model, found, {"test": scored.where(~F.col("is_train"))})
 
 
-def predict_salary(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """``df`` with ``predicted_salary``; no rows is an error."""
+def predict_salary(df: DataFrame, model: PipelineModel | None = None, path: str = SALARY_MODEL) -> DataFrame:
+    """``df`` with ``predicted_salary``; no rows is an error. Without a model the saved one is loaded."""
     if df.isEmpty():
         raise ValueError("no rows to score")
-    return model.transform(df)
+    return model_or_load(model, path).transform(df)
 
 
 # --- offer acceptance ---------------------------------------------------------------------
@@ -276,7 +277,7 @@ def train_acceptance_predictor(
     )
 
 
-def predict_acceptance(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """``df`` with ``acceptance_probability``: the probability of class 1."""
-    scored = model.transform(df)
+def predict_acceptance(df: DataFrame, model: PipelineModel | None = None, path: str = ACCEPTANCE_MODEL) -> DataFrame:
+    """``df`` with ``acceptance_probability``: the probability of class 1. Without a model the saved one is loaded."""
+    scored = model_or_load(model, path).transform(df)
     return scored.withColumn("acceptance_probability", vector_to_array("_probability")[1]).drop("_probability")

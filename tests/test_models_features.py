@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from jobweave.functions.vectors import norm
 from jobweave.operators import features, models, segments, terms
-from jobweave.sources.models import load_model, model_or_load
 
 
 @pytest.fixture(scope="module")
@@ -106,14 +105,14 @@ def test_classifier_learns_and_survives_a_round_trip(spark, texts, new_dir):
     report = {r["label"]: r["support"] for r in trained.tables["report"].collect()}
     assert report["data"] == 18 and report["accuracy"] == 30
     before = models.predict_job_category(texts, trained.model).select("id", "predicted_category").orderBy("id").collect()
-    after = models.predict_job_category(texts, load_model(path)).select("id", "predicted_category").orderBy("id").collect()
+    after = models.predict_job_category(texts, path=path).select("id", "predicted_category").orderBy("id").collect()
     assert before == after
     assert models.predict_job_category(texts.limit(0), trained.model).count() == 0
     assert models.predict_job_category(texts, trained.model).columns == ["id", "text", "topic", "predicted_category"]
     with pytest.raises(ValueError):
         models.train_job_classifier(texts.where("topic = 'web'"), "id", "text", "topic")
     with pytest.raises(FileNotFoundError):
-        model_or_load(None, f"{new_dir}/nothing")
+        models.predict_job_category(texts, path=f"{new_dir}/nothing")
 
 
 def test_salary_model_beats_the_mean(spark):
