@@ -44,19 +44,19 @@ def test_preview_cuts_only_long_texts(spark):
 
 
 def test_contact_details(spark):
-    job = "Contact: hiring@innovatech.com or call 555-223-4567 ext. 101\nalso hiring@innovatech.com"
-    assert one(spark, job, text.extract_emails) == ["hiring@innovatech.com", "hiring@innovatech.com"]
+    job = "Contact: jobs@example.org or call 555-223-4567 ext. 101\nalso jobs@example.org"
+    assert one(spark, job, text.extract_emails) == ["jobs@example.org", "jobs@example.org"]
     assert one(spark, job, text.extract_phone_numbers) == ["555-223-4567 ext. 101"]
     # Neither the area code nor the exchange may start with 1.
     assert one(spark, "call 555-123-4567 ext. 101", text.extract_phone_numbers) == []
-    resume = "New York, NY | (123) 456-7890 | john.doe@email.com"
-    assert one(spark, resume, text.extract_emails) == ["john.doe@email.com"]
+    resume = "Lisbon | (123) 456-7890 | kim@example.net"
+    assert one(spark, resume, text.extract_emails) == ["kim@example.net"]
     # The area code must start with 2 to 9, so only the local part is a number here.
     assert one(spark, resume, text.extract_phone_numbers) == ["456-7890"]
     assert one(spark, "nothing here", text.extract_emails) == []
 
 
-def reference_skills(value, vocabulary):
+def whole_word_skills(value, vocabulary):
     """The definition: one whole-word search per term."""
     return sorted({t.lower() for t in vocabulary if re.search(r"\b" + re.escape(t) + r"\b", value, re.IGNORECASE)})
 
@@ -73,13 +73,13 @@ def test_skills_equal_one_search_per_term(spark):
     frame = spark.createDataFrame([(t,) for t in SKILL_TEXTS], "t string")
     got = frame.select("t", text.match_terms(F.col("t"), fixed.DEFAULT_SKILLS).alias("s")).collect()
     for row in got:
-        assert row["s"] == reference_skills(row["t"], fixed.DEFAULT_SKILLS), row["t"]
+        assert row["s"] == whole_word_skills(row["t"], fixed.DEFAULT_SKILLS), row["t"]
 
 
 def test_overlapping_and_prefix_terms_all_count(spark):
     vocabulary = ["big", "big data", "big data analysis", "data", "data analysis", "analysis", "big-data"]
     for value in ["big data analysis", "big data analyst", "big-data", "bigdata analysis"]:
-        assert one(spark, value, lambda c: text.match_terms(c, vocabulary)) == reference_skills(value, vocabulary)
+        assert one(spark, value, lambda c: text.match_terms(c, vocabulary)) == whole_word_skills(value, vocabulary)
 
 
 def test_symbol_terms_need_the_symbol_aware_mode(spark):
@@ -95,7 +95,7 @@ def test_table_form_equals_expression_form(spark):
     for r in tagging.match_vocabulary(texts, "id", "t", table).collect():
         by_join.setdefault(r["id"], []).append(r["skill"])
     for i, value in enumerate(SKILL_TEXTS):
-        assert sorted(by_join.get(i, [])) == reference_skills(value, vocabulary)
+        assert sorted(by_join.get(i, [])) == whole_word_skills(value, vocabulary)
 
 
 def test_entities_keep_every_label_and_text_order(spark):
