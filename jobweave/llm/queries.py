@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, token_counts
+from jobweave.llm import decontamination, hilbert_sharding, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -34,7 +38,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op4_hilbert_sharding, op8_decontamination)
+    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op8_decontamination)
 }
 
 ORACLES: dict[str, str] = {}
