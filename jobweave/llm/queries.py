@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, suffix_dedup, token_counts
+from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +37,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(hits)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op8_decontamination)
+    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op8_decontamination, op9_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
