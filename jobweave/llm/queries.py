@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, suffix_dedup, token_counts
+from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, suffix_dedup, token_counts, word_bpe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_sharding.document_shards(_table(spark, sf_dir, "documents"))
 
 
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.round_trip_report(word_bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontamination.contamination_report(hits)
@@ -42,7 +46,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op8_decontamination, op9_jaccard_join)
+    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op5_word_bpe, op8_decontamination, op9_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
