@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, suffix_dedup, token_counts, word_bpe
+from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, ppm_language, suffix_dedup, token_counts, word_bpe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ppm_language.identify(docs, ppm_language.fit(docs))
+
+
 def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_sharding.document_shards(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op4_hilbert_sharding, op5_word_bpe, op8_decontamination, op9_jaccard_join)
+    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op8_decontamination, op9_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
