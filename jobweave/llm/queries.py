@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, ppm_language, suffix_dedup, token_counts, word_bpe
+from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, word_bpe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.round_trip_report(word_bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return line_crf.judge(docs, line_crf.fit(docs, _table(spark, sf_dir, "labels"))).drop("content")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontamination.contamination_report(hits)
@@ -51,7 +56,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op8_decontamination, op9_jaccard_join)
+    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op7_line_crf, op8_decontamination, op9_jaccard_join)
 }
 
 ORACLES: dict[str, str] = {}
