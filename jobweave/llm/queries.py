@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobweave.llm import decontamination, hilbert_sharding, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, word_bpe
+from jobweave.llm import (
+    decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +43,10 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.round_trip_report(word_bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+def op6_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_crf.judge(docs, line_crf.fit(docs, _table(spark, sf_dir, "labels"))).drop("content")
@@ -55,8 +61,17 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc_derivatives.page_responses(_table(spark, sf_dir, "pages"))
+    return warc_derivatives.build_derivatives(responses, columns=("page_id", "url"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op7_line_crf, op8_decontamination, op9_jaccard_join)
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op6_html_density, op7_line_crf,
+        op8_decontamination, op9_jaccard_join, op10_warc_derivatives,
+    )
 }
 
 ORACLES: dict[str, str] = {}
