@@ -98,9 +98,11 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 
 def pack(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """Rows given as equally long arrays, as one run of bytes per column and bucket."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     sorted_bucket = bucket[order]
-    cuts = np.flatnonzero(np.r_[True, sorted_bucket[1:] != sorted_bucket[:-1]]) if len(order) else []
+    cuts = np.flatnonzero(np.r_[True, sorted_bucket[1:] != sorted_bucket[:-1]])
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
         yield int(sorted_bucket[a]), [c[order[a:b]].tobytes() for c in columns]
 
