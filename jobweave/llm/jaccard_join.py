@@ -256,13 +256,24 @@ def candidate_edges(source: DataFrame, buckets: int) -> DataFrame:
                 found = rtree_links(points, light_size[rows], None)
                 a.append(light_doc[rows[[i for i, _ in found]]] if found else known_a[:0])
                 b.append(light_doc[rows[[j for _, j in found]]] if found else known_b[:0])
-        a, b = np.concatenate(a), np.concatenate(b)
-        pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-        pairs = pairs[:, pairs[0] != pairs[1]]
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+        a, b = distinct_pairs(np.concatenate(a), np.concatenate(b))
+        packed = list(pack((mix(a.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32), a, b))
+        return pa.table({"bucket": pa.array([n for n, _ in packed], pa.int32()), "a": pa.array([v[0] for _, v in packed], pa.binary()), "b": pa.array([v[1] for _, v in packed], pa.binary())})
+
+    def merge(table: pa.Table) -> pa.Table:
+        a, b = distinct_pairs(*unpack(table, ["a", "b"], ["i8", "i8"]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     dealt = source.mapInArrow(deal, "bucket int, " + ", ".join(f"{n} binary" for n in names))
-    return dealt.groupBy("bucket").applyInArrow(match, "a long, b long")
+    matched = dealt.groupBy("bucket").applyInArrow(match, "bucket int, a binary, b binary")
+    return matched.groupBy("bucket").applyInArrow(merge, "a long, b long")
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, the larger id first, without pairs of one id."""
+    pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+    pairs = pairs[:, pairs[0] != pairs[1]]
+    return pairs[0], pairs[1]
 
 
 def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int) -> DataFrame:
@@ -305,7 +316,8 @@ def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int) -> Da
                 b.append(int(doc[rows[j]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    sets = source.join(candidates, "doc_id").mapInArrow(gather, "doc_id long, part long, tile int, tiles int, tokens binary")
+    # the hint keeps the plan the same at every size
+    sets = source.join(candidates.hint("merge"), "doc_id").mapInArrow(gather, "doc_id long, part long, tile int, tiles int, tokens binary")
     paired = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "doc_id", "part", "tile", F.least("tile", "other").alias("left"), F.greatest("tile", "other").alias("right"), "tokens"
     )
