@@ -62,7 +62,7 @@ def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "role" and value.lower() in ROLES:
             return True
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            words = {w.lower() for w in NAME_PART.findall(value)}
+            words = {w.lower() for w in NAME_PART.findall(value)} | set(value.lower().split())
             if words & NOISE_WORDS or ("header" in words and not in_article):
                 return True
     return False

@@ -40,7 +40,8 @@ def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_bpe.round_trip_report(word_bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+    coded = word_bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return coded.select("doc_id", *word_bpe.digest_columns())
 
 
 def op6_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.llm.common import filled, id_array, ids, keyed, partitions, slices, text_bytes, worker_cache, written
@@ -72,7 +72,7 @@ def machine(path: str) -> WordTokenizer:
 
 def squeeze(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes: their high bytes are mostly alike."""
-    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes(), 1)
 
 
 def widen(blob: bytes, kind: str) -> np.ndarray:
@@ -106,7 +106,7 @@ def split_slices(source: DataFrame, path: str, buckets: int) -> DataFrame:
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.r_[True, bucket[order[1:]] != bucket[order[:-1]]]).tolist() if len(words) else []
                 rows = [(-1, squeeze(ids(part.column("doc_id"))), squeeze(counts), squeeze(rank[used]))]
-                for a, b in zip(cuts, [*cuts[1:], len(words)], strict=True):
+                for a, b in zip(cuts, [*cuts[1:], len(words)][: len(cuts)], strict=True):
                     own = order[a:b]
                     rows.append((int(bucket[own[0]]), zstandard.compress("\n".join([words[i] for i in own.tolist()]).encode(), 1), squeeze(rank[own]), b""))
                 yield pa.RecordBatch.from_arrays(
@@ -178,10 +178,10 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", id_
     return joined.groupBy("slice").applyInArrow(assemble, "doc_id long, ids array<int>, decoded string")
 
 
-def round_trip_report(coded: DataFrame) -> DataFrame:
-    """The digest columns of ``bpe_round_trip``."""
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+def digest_columns() -> list[Column]:
+    """``n_tokens, ids_sha256, decoded_sha256`` of a row of ``bpe_round_trip``."""
+    return [
+        F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    ]
