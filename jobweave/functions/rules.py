@@ -28,7 +28,7 @@ def experience_years(
 
 
 def skill_count(skills: Column) -> Column:
-    return F.coalesce(F.size(skills), F.lit(0))
+    return F.coalesce(F.array_size(skills), F.lit(0))
 
 
 def has_salary(low: Column, high: Column) -> Column:

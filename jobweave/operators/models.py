@@ -28,7 +28,7 @@ from pyspark.storagelevel import StorageLevel
 from jobweave.functions.rules import hash_percent, threshold_label
 from jobweave.operators import metrics
 from jobweave.operators.features import token_stages
-from jobweave.operators.splits import check_training_rows, drop_nulls, hash_split, stratified_split
+from jobweave.operators.splits import balanced_weights, check_training_rows, drop_nulls, hash_split, stratified_split
 from jobweave.sources.models import model_or_load, save_model
 
 # Where scoring looks for a model when it is given none. Training saves where it is told to.
@@ -44,6 +44,12 @@ class Trained:
     model: PipelineModel
     metrics: dict[str, float]
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Give back the cached scores; the tables are computed anew if they are read after that."""
+        for frame in self.cached:
+            frame.unpersist()
 
 
 def chain(stages: Iterable) -> PipelineModel:
@@ -56,17 +62,21 @@ def fit_tfidf_stages(
     out: str,
     stop_words: Sequence[str] | None = None,
     bigrams: bool = True,
-    vocab_size: int = 1 << 18,
+    vocab_size: int | None = None,
     min_df: float = 1.0,
     max_df: float = 1.0,
 ) -> tuple[PipelineModel, list[str]]:
     """Fitted TF-IDF stages and the names of their scratch columns.
 
+    Without ``vocab_size`` every term within the limits of document frequency is kept. The vocabulary is part of the model and lies
+    on the driver, so bound the rows that a model is fitted on.
+
     Spark's IDF is ``ln((n+1)/(df+1))``; adding 1 to its weights gives the smoothed form of
     :func:`jobweave.operators.terms.smoothed_idf`, followed by the unit row norm.
     """
     tokens = token_stages(text_col, "_tokens", stop_words, bigrams)
-    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=vocab_size, minDF=min_df, maxDF=max_df)
+    size = vocab_size or max(1, _terms_within(df, tokens, min_df, max_df))
+    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=size, minDF=min_df, maxDF=max_df)
     counts = Pipeline(stages=[*tokens, counter, IDF(inputCol="_counts", outputCol="_idf")]).fit(df)
     weights = counts.stages[-1].idf.toArray() + 1.0
     weigh = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_counts", outputCol="_weighted")
@@ -75,6 +85,19 @@ def fit_tfidf_stages(
     return chain([*counts.stages[:-1], weigh, unit]), scratch
 
 
+def _terms_within(df: DataFrame, tokens: Sequence, min_df: float, max_df: float) -> int:
+    """The number of terms whose document frequency is within the limits (shares below 1, else numbers of documents)."""
+    rows = df.count()
+    low, high = (x * rows if x < 1 else x for x in (min_df, max_df))
+    split = chain(tokens).transform(df).select(F.explode(F.array_distinct("_tokens")).alias("term"))
+    return split.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n").between(low, high)).count()
+
+
+def _balanced(train: DataFrame, label: str) -> DataFrame:
+    """The rows with ``_weight``: all rows by classes times the rows of the own class."""
+    return train.join(balanced_weights(train, label).select(label, F.col("weight").alias("_weight")), label)
+
+
 def _one_row(df: DataFrame) -> dict:
     return df.first().asDict()
 
@@ -93,25 +116,25 @@ def train_job_classifier(
     label_col: str = "job_category",
     path: str | None = None,
     stop_words: Sequence[str] | None = None,
-    vocab_size: int = 1 << 18,
     max_depth: int = 30,
+    fit_rows: int = 500_000,
 ) -> Trained:
     """TF-IDF and a class-balanced decision tree on an 80/20 stratified split.
 
-    TF-IDF is fitted on the train rows only. The tree is grown to Spark's depth limit.
+    TF-IDF is fitted on the train rows only. The tree is grown to Spark's depth limit. About ``fit_rows`` train rows, chosen by
+    a hash of the id, are fitted on at most; this bounds the vocabulary, of which no term within the limits is dropped.
+    All rows are scored.
     """
     rows = drop_nulls(df, [id_col, text_col, label_col]).select(id_col, text_col, F.col(label_col).cast("string").alias(label_col))
     info = check_training_rows(rows, label_col)
     split = stratified_split(rows, label_col, id_col, 0.8).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where("is_train")
-    head, scratch = fit_tfidf_stages(train, text_col, "_features", stop_words, True, vocab_size, 2.0, 0.95)
+    total = check_training_rows(train, label_col)["rows"]
+    if total > fit_rows:
+        train = train.where(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * fit_rows / total))
+    head, scratch = fit_tfidf_stages(train, text_col, "_features", stop_words, True, None, 2.0, 0.95)
     indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="keep").fit(train)
-    train_info = check_training_rows(train, label_col)
-    total, classes = train_info["rows"], len(train_info["classes"])
-    weight = F.lit(1.0)
-    for name, count in train_info["classes"].items():
-        weight = F.when(F.col(label_col) == name, F.lit(total / (classes * count))).otherwise(weight)
-    prepared = indexer.transform(head.transform(train)).withColumn("_weight", weight)
+    prepared = indexer.transform(head.transform(_balanced(train, label_col)))
     tree = DecisionTreeClassifier(
         featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction",
         rawPredictionCol="_raw", probabilityCol="_probability", maxDepth=max_depth, seed=42, maxMemoryInMB=512,
@@ -129,6 +152,7 @@ def train_job_classifier(
         model,
         {"train_accuracy": by_part.get(True), "test_accuracy": by_part.get(False), "rows": info["rows"]},
         {"report": metrics.classification_report(test, label_col, "predicted_category"), "test": test},
+        [scored],
     )
 
 
@@ -202,7 +226,7 @@ def train_salary_forecaster(
     split.unpersist()
     if path:
         save_model(model, path)
-    return Trained(model, found, {"test": scored.where(~F.col("is_train"))})
+    return Trained(model, found, {"test": scored.where(~F.col("is_train"))}, [scored])
 
 
 def predict_salary(df: DataFrame, model: PipelineModel | None = None, path: str = SALARY_MODEL) -> DataFrame:
@@ -241,11 +265,7 @@ def train_acceptance_predictor(
     check_training_rows(rows, target, min_rows=min_rows)
     split = stratified_split(rows, target, id_col, 0.75).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where("is_train")
-    info = check_training_rows(train, target)
-    total, classes = info["rows"], len(info["classes"])
-    weight = F.lit(1.0)
-    for value, count in info["classes"].items():
-        weight = F.when(F.col(target) == value, F.lit(total / (classes * count))).otherwise(weight)
+    total = check_training_rows(train, target)["rows"]
     scaling = [_population_scaling(train, numbers)] if numbers else []
     assembler = VectorAssembler(inputCols=[*(f"_z_{c}" for c in numbers), *flags], outputCol="_features")
     head = Pipeline(stages=[*scaling, assembler]).fit(train)
@@ -254,7 +274,7 @@ def train_acceptance_predictor(
         featuresCol="_features", labelCol=target, weightCol="_weight", predictionCol="_prediction",
         rawPredictionCol="_raw", probabilityCol="_probability", elasticNetParam=0.0, standardization=False,
         regParam=1.0 / (inverse_penalty * total), maxIter=100,
-    ).fit(head.transform(train).withColumn("_weight", weight))
+    ).fit(head.transform(_balanced(train, target)))
     # The probability vector becomes a plain column in predict_acceptance.
     model = chain([*head.stages, fitted, _drop(["_features", "_raw", "_prediction", *(f"_z_{c}" for c in numbers)])])
     scored = predict_acceptance(split, model).persist(StorageLevel.MEMORY_AND_DISK)
@@ -274,6 +294,7 @@ def train_acceptance_predictor(
             "confusion": metrics.confusion_matrix(test, target, "predicted"),
             "test": test,
         },
+        [scored],
     )
 
 

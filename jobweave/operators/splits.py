@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobweave.functions.rules import hash_bits, hash_percent
-from jobweave.operators.ranking import default_buckets, running_sums
+from jobweave.operators.ranking import default_buckets
 
 
 def hash_split(df: DataFrame, id_col: str, train_percent: int = 80, out: str = "is_train") -> DataFrame:
@@ -45,11 +45,29 @@ def stratified_split(
 
 
 def half_split(df: DataFrame, id_col: str, out: str = "is_first_half") -> DataFrame:
-    """The first half of the rows in id order; ``id_col`` must be unique."""
-    ids = df.select(id_col).withColumn("one", F.lit(1))
-    ranked = running_sums(ids, id_col, ["one"])
-    last = ranked.where(F.col("one_before") < F.floor(F.col("one_total") / 2)).agg(F.max(id_col)).scalar()
-    return df.withColumn(out, F.coalesce(F.col(id_col) <= last, F.lit(False)))
+    """The first half of the rows in id order, for ids of any orderable type; ``id_col`` must be unique.
+
+    Cut points are ids themselves, taken from a hash-chosen sample; any cut points give the exact middle, as the rows
+    between two of them are counted and only one stretch is ranked. Rows without an id are in no half.
+    """
+    parts = default_buckets(df)
+    ids = df.select(id_col).where(F.col(id_col).isNotNull())
+    rows = ids.count()
+    half = rows // 2
+    if not half:
+        return df.withColumn(out, F.lit(False))
+    every = max(1, rows // (16 * parts))
+    sample = sorted(r[0] for r in ids.where(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0).collect())
+    cuts = F.array(*[F.lit(c) for c in sample[:: max(1, len(sample) // parts)]]).cast(f"array<{df.schema[id_col].dataType.simpleString()}>")
+    stretch = F.size(F.filter(cuts, lambda c: c < F.col(id_col)))
+    counts = {r["s"]: r["n"] for r in ids.groupBy(stretch.alias("s")).agg(F.count("*").alias("n")).collect()}
+    below = 0
+    for middle in sorted(counts):
+        if below + counts[middle] >= half:
+            break
+        below += counts[middle]
+    ranked = ids.where(stretch == middle).orderBy(id_col).limit(half - below)
+    return df.withColumn(out, F.coalesce(F.col(id_col) <= ranked.agg(F.max(id_col)).scalar(), F.lit(False)))
 
 
 def drop_nulls(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -72,22 +90,15 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, "n", weight.alias("weight"))
 
 
-def check_training_rows(
-    df: DataFrame, label: str | None = None, min_rows: int = 1, min_classes: int = 2, max_classes: int = 10_000
-) -> dict:
-    """Raise when there is too little to fit; return the row count and, for a class label, its counts."""
+def check_training_rows(df: DataFrame, label: str | None = None, min_rows: int = 1, min_classes: int = 2) -> dict:
+    """Raise when there is too little to fit; return the numbers of rows and of classes."""
     if label is None:
-        rows = df.count()
-        counts = {}
+        rows, classes = df.count(), 0
     else:
-        # One row per class. The limit keeps a column that is no class label off the driver.
-        found = class_counts(df, label).limit(max_classes + 1).collect()
-        if len(found) > max_classes:
-            raise ValueError(f"{label} has more than {max_classes} classes")
-        counts = {r[label]: r["n"] for r in found}
-        rows = sum(counts.values())
+        found = class_counts(df, label).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("classes")).first()
+        rows, classes = found["rows"], found["classes"]
     if rows < min_rows:
         raise ValueError(f"need at least {min_rows} rows to train, got {rows}")
-    if label is not None and len(counts) < min_classes:
-        raise ValueError(f"need at least {min_classes} classes in {label}, got {len(counts)}")
-    return {"rows": rows, "classes": counts}
+    if label is not None and classes < min_classes:
+        raise ValueError(f"need at least {min_classes} classes in {label}, got {classes}")
+    return {"rows": rows, "classes": classes}

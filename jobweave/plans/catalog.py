@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -302,6 +301,13 @@ def half_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.half_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
+@register
+def half_split_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a string key."""
+    keys = table(spark, sf_dir, "orders").select(F.concat(F.lit("job"), F.col("o_orderkey").cast("string")).alias("job_id"))
+    return splits.half_split(keys, "job_id")
+
+
 @register
 def balanced_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = splits.balanced_weights(views.documents(spark, sf_dir).select("lang"), "lang")
@@ -327,9 +333,11 @@ def train_job_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def predict_job_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _categories(spark, sf_dir)
-    trained = models.train_job_classifier(docs, "doc_id", stop_words=TEST_STOP_WORDS)
-    return models.predict_job_category(docs, trained.model).select("doc_id", "predicted_category")
+    """Test rows only, scored with the saved model."""
+    docs, path = _categories(spark, sf_dir), new_scratch_path(spark, "category")
+    trained = models.train_job_classifier(docs, "doc_id", path=path, stop_words=TEST_STOP_WORDS)
+    test = docs.join(trained.tables["test"].select("doc_id"), "doc_id", "left_semi")
+    return models.predict_job_category(test, path=path).select("doc_id", "predicted_category")
 
 
 @register
@@ -340,9 +348,11 @@ def train_salary_forecaster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def predict_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.salary_features(spark, sf_dir)
-    trained = models.train_salary_forecaster(rows, "job_id", rounds=20)
-    return models.predict_salary(rows, trained.model).select("job_id", r6("predicted_salary"))
+    """Test rows only, scored with the saved model."""
+    rows, path = views.salary_features(spark, sf_dir), new_scratch_path(spark, "salary")
+    trained = models.train_salary_forecaster(rows, "job_id", path=path)
+    test = rows.join(trained.tables["test"].select("job_id"), "job_id", "left_semi")
+    return models.predict_salary(test, path=path).select("job_id", r6("predicted_salary"))
 
 
 @register
@@ -352,16 +362,22 @@ def train_acceptance_predictor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def predict_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.offers(spark, sf_dir)
-    model: PipelineModel = models.train_acceptance_predictor(rows, "offer_id").model
-    return models.predict_acceptance(rows, model).select("offer_id", r6("acceptance_probability"))
+    """Test rows only, scored with the saved model."""
+    rows, path = views.offers(spark, sf_dir), new_scratch_path(spark, "acceptance")
+    trained = models.train_acceptance_predictor(rows, "offer_id", path=path)
+    test = rows.join(trained.tables["test"].select("offer_id"), "offer_id", "left_semi")
+    return models.predict_acceptance(test, path=path).select("offer_id", r6("acceptance_probability"))
 
 
 def _clustered(spark: SparkSession, sf_dir: str, feature_type: str) -> DataFrame:
+    """All jobs; their texts are embedded, so that no job lacks a vector."""
     column = "embedding" if feature_type == "embeddings" else "description"
-    _, out = segments.cluster_jobs(
-        views.jobs(spark, sf_dir), column, 5, feature_type, stop_words=TEST_STOP_WORDS
-    )
+    rows = views.jobs(spark, sf_dir).withColumn("description", F.coalesce("description", F.lit("")))
+    if feature_type == "embeddings":
+        cleaned = rows.drop("embedding").withColumn("cleaned", text.clean_text(F.col("description")))
+        model = features.fit_hashed_embedder(cleaned, "cleaned", dim=64, stop_words=TEST_STOP_WORDS)
+        rows = features.embed_texts(cleaned, "cleaned", model)
+    _, out = segments.cluster_jobs(rows, column, 5, feature_type, stop_words=TEST_STOP_WORDS)
     return out
 
 
@@ -406,7 +422,7 @@ def recommend_cosine_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def recommend_collaborative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = recommend.recommend_collaborative(views.interactions(spark, sf_dir), views.newest_users(spark, sf_dir), 5)
+    out = recommend.recommend_collaborative(views.interactions(spark, sf_dir), n=5)
     return out.select("user_id", "item_id", r6("score"), "rank")
 
 
@@ -421,9 +437,9 @@ def recommend_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users are resumes of the same id: their content matches first, then what their peers used."""
     n = 5
     jobs = views.with_skills(views.jobs(spark, sf_dir), "description")
-    content = recommend.recommend_content(views.resumes(spark, sf_dir), jobs, 3, vocabulary=TEST_SKILLS)
+    content = recommend.recommend_content(views.resumes(spark, sf_dir), jobs, 2 * n, vocabulary=TEST_SKILLS)
     content = content.select(F.col("resume_id").alias("user_id"), F.col("job_id").alias("item_id"), "rank")
-    peers = recommend.recommend_collaborative(views.interactions(spark, sf_dir), views.newest_users(spark, sf_dir), 2 * n)
+    peers = recommend.recommend_collaborative(views.interactions(spark, sf_dir), n=2 * n)
     return recommend.recommend_hybrid(content, peers, n)
 
 
@@ -555,8 +571,9 @@ def ranking_metrics_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.title_means(spark, sf_dir)
-    out = metrics.actual_vs_predicted(rows, rows, "job_id", "salary_midpoint", "predicted")
+    actual = views.salary_features(spark, sf_dir).select("job_id", "salary_midpoint")
+    predicted = views.title_means(spark, sf_dir).select("job_id", "predicted")
+    out = metrics.actual_vs_predicted(actual, predicted, "job_id", "salary_midpoint", "predicted")
     return out.select("job_id", F.round("salary_midpoint", 4).alias("salary_midpoint"), F.round("predicted", 4).alias("predicted"))
 
 

@@ -344,6 +344,10 @@ def _build() -> dict[str, str]:
     out["half_split"] = (
         "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) <= floor(count(*) OVER () / 2) AS is_first_half FROM orders"
     )
+    out["half_split_by_name"] = (
+        "SELECT job_id, row_number() OVER (ORDER BY job_id) <= floor(count(*) OVER () / 2) AS is_first_half "
+        "FROM (SELECT 'job' || CAST(o_orderkey AS VARCHAR) AS job_id FROM orders)"
+    )
     out["balanced_weights"] = (
         "SELECT lang, n, round(CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n), 6) AS weight "
         "FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)"
@@ -355,12 +359,14 @@ def _build() -> dict[str, str]:
         "SELECT vec_id, cluster, distance FROM dist QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1"
     )
     # recommendation
-    content = (
-        "content AS MATERIALIZED (SELECT * FROM (SELECT resume_id, job_id, score, CAST(row_number() OVER (PARTITION BY resume_id ORDER BY round(score, 6) DESC, job_id) "
-        f"AS INTEGER) AS rank FROM (SELECT resume_id, job_id, {_SCORE} AS score FROM all_scores WHERE resume_id IN "
-        f"(SELECT resume_id FROM resumes WHERE {clean('text')} <> ''))) WHERE rank <= 3)"
-    )
-    out["recommend_content"] = sql("", "all_scores").strip() + f", {content} SELECT resume_id, job_id, round(score, 6) AS score, rank FROM content"
+    def content(k: int) -> str:
+        return (
+            "content AS MATERIALIZED (SELECT * FROM (SELECT resume_id, job_id, score, CAST(row_number() OVER (PARTITION BY resume_id ORDER BY round(score, 6) DESC, job_id) "
+            f"AS INTEGER) AS rank FROM (SELECT resume_id, job_id, {_SCORE} AS score FROM all_scores WHERE resume_id IN "
+            f"(SELECT resume_id FROM resumes WHERE {clean('text')} <> ''))) WHERE rank <= {k})"
+        )
+
+    out["recommend_content"] = sql("", "all_scores").strip() + f", {content(3)} SELECT resume_id, job_id, round(score, 6) AS score, rank FROM content"
     out["recommend_cosine_top5"] = sql(
         f"SELECT resume_id, job_id, round(cosine, 6) AS match_score, rank, title, description, {_array('skills', 'skills')} FROM ({best('cosine', 5)})",
         "all_scores",
@@ -368,11 +374,10 @@ def _build() -> dict[str, str]:
 
     def peers(k: int) -> str:
         return (
-            "targets AS (SELECT user_id FROM events WHERE event_type = 'signup' GROUP BY user_id ORDER BY max(ts) DESC, user_id LIMIT 20), "
             "sizes AS (SELECT user_id, count(*) AS n FROM interactions GROUP BY user_id), "
             "sim AS (SELECT a.user_id AS target, b.user_id AS peer, count(*) / sqrt(CAST(any_value(s1.n) AS DOUBLE) * any_value(s2.n)) AS w "
             "FROM interactions a JOIN interactions b ON a.item_id = b.item_id AND a.user_id <> b.user_id JOIN sizes s1 ON s1.user_id = a.user_id "
-            "JOIN sizes s2 ON s2.user_id = b.user_id WHERE a.user_id IN (SELECT user_id FROM targets) GROUP BY ALL), "
+            "JOIN sizes s2 ON s2.user_id = b.user_id GROUP BY ALL), "
             "raw AS (SELECT target AS user_id, item_id, sum(w) AS score FROM sim JOIN interactions i ON i.user_id = sim.peer GROUP BY ALL), "
             "peers AS MATERIALIZED (SELECT * FROM (SELECT user_id, item_id, score, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(score, 6) DESC, item_id) AS INTEGER) AS rank "
             f"FROM raw ANTI JOIN interactions USING (user_id, item_id)) WHERE rank <= {k})"
@@ -383,7 +388,7 @@ def _build() -> dict[str, str]:
     )
     out["recommend_hybrid"] = (
         sql("", "all_scores", "interactions").strip()
-        + f", {content}, {peers(10)}, "
+        + f", {content(10)}, {peers(10)}, "
         "merged AS (SELECT resume_id AS user_id, job_id AS item_id, 0 AS source, rank FROM content UNION ALL SELECT user_id, item_id, 1, rank FROM peers), "
         "first AS (SELECT user_id, item_id, min(source * 1000 + rank) AS place FROM merged GROUP BY ALL) "
         "SELECT user_id, item_id, CASE WHEN place < 1000 THEN 'content' ELSE 'collaborative' END AS source, rank FROM "

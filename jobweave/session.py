@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -37,7 +38,8 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is one created and set.
+    Only a local master may do without: then a temporary folder is made and set. On a cluster such a folder would lie on one
+    machine, and reads would miss what others wrote, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
     if configured:
@@ -45,11 +47,34 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     created = tempfile.mkdtemp(prefix="jobweave-")
     spark.sparkContext.setCheckpointDir(created)
     return created
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``); ``local-cluster`` is not."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path under the shared folder that no earlier run has used; it is removed when the Python process ends."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # noqa: BLE001  the session may be gone, and then nothing can be removed
+            return

@@ -69,6 +69,16 @@ def test_half_split(spark):
     assert [i for i in ids if out[i]] == [3, 9, 27]
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint", "date"])
+def test_half_split_on_keys_of_any_type(spark, kind):
+    key = {"string": "concat('job', id * 37 % 1001)", "bigint": "id * 37 % 1001 + 3000000000", "date": "date_add(date'2000-01-01', cast(id * 37 % 1001 as int))"}[kind]
+    frame = spark.range(1001).selectExpr(f"{key} as k").unionByName(spark.sql(f"select cast(null as {kind}) as k"))
+    rows = splits.half_split(frame, "k").collect()
+    ordered = sorted(r["k"] for r in rows if r["k"] is not None)
+    assert sorted(r["k"] for r in rows if r["is_first_half"]) == ordered[:500]
+    assert not splits.half_split(frame.limit(0), "k").collect()
+
+
 def test_weights_and_guards(spark):
     frame = spark.createDataFrame([("a",)] * 3 + [("b",)], "y string")
     weights = {r["y"]: r["weight"] for r in splits.balanced_weights(frame, "y").collect()}
