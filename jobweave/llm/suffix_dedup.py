@@ -152,6 +152,31 @@ def slice_grams(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     return data, bounds, row, place, mark, first, last
 
 
+#: Values of many documents in one row: the bucket of the documents, their ids, and int32 values for each id.
+PACKED = "bucket int, doc binary, value binary"
+
+
+def by_document(doc: np.ndarray, value: np.ndarray, buckets: int) -> pa.Table:
+    """Values of documents, packed by a hash of the document's id."""
+    packed = list(pack((mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32), doc, value))
+    return pa.table({"bucket": pa.array([b for b, _ in packed], pa.int32()), "doc": pa.array([v[0] for _, v in packed], pa.binary()), "value": pa.array([v[1] for _, v in packed], pa.binary())})
+
+
+def gathered(packed: DataFrame, name: str) -> DataFrame:
+    """One row for each document: ``doc_id`` and its values, in the column ``name``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, value = unpack(table, ["doc", "value"], ["i8", "i4"])
+        value = value.reshape(len(doc), -1) if len(doc) else value
+        order = np.argsort(doc, kind="stable")
+        doc, value = doc[order], value[order]
+        heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
+        blobs = [value[a:b].tobytes() for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(doc)], strict=True)] if len(doc) else []
+        return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), name: pa.array(blobs, pa.binary())})
+
+    return packed.groupBy("bucket").applyInArrow(run, f"doc_id long, {name} binary")
+
+
 def repeated_grams(source: DataFrame, buckets: int) -> DataFrame:
     """``doc_id, places``: for each document the offsets (packed int32) of its chosen grams that stand more than once."""
 
@@ -192,16 +217,10 @@ def repeated_grams(source: DataFrame, buckets: int) -> DataFrame:
         if len(order):
             repeated |= np.r_[False, same] | np.r_[same, False]
         keep = order[repeated]
-        doc, place = np.r_[doc[keep], known_doc], np.r_[place[keep], known_place]
-        order = np.argsort(doc, kind="stable")
-        doc, place = doc[order], place[order]
-        heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        tails = np.r_[heads[1:], len(doc)]
-        blobs = [place[a:b].tobytes() for a, b in zip(heads.tolist(), tails.tolist(), strict=True)] if len(doc) else []
-        return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "places": pa.array(blobs, pa.binary())})
+        return by_document(np.r_[doc[keep], known_doc], np.r_[place[keep], known_place], buckets)
 
     dealt = source.mapInArrow(deal, "bucket int, mark binary, doc binary, place binary, many binary, known_doc binary, known_place binary")
-    return dealt.groupBy("bucket").applyInArrow(count, "doc_id long, places binary")
+    return gathered(dealt.groupBy("bucket").applyInArrow(count, PACKED), "places")
 
 
 def sampled_grams(source: DataFrame, docs: int) -> list[tuple[bytes, int]]:
@@ -246,8 +265,8 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
         doc_ids = doc_ids[order]
         data, bounds, row, place, _, first, last = slice_grams(part)
         wanted = np.zeros(len(data) + 1, bool)
-        for base, end, blobs in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column("places").to_pylist(), strict=True):
-            at = np.frombuffer(b"".join(blobs), np.int32) + base
+        for base, end, blob in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column("places").to_pylist(), strict=True):
+            at = np.frombuffer(blob, np.int32) + base
             wanted[at[at < end]] = True
         keep = wanted[place]
         row, place, first, last = row[keep], place[keep], first[keep], last[keep]
@@ -316,33 +335,32 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
             starts.append((at[hit] - hi).astype(np.int32))
             ends.append((at[hit] - lo + LENGTH).astype(np.int32))
             owners.append(doc[hit])
-        doc, start, end = np.concatenate(owners), np.concatenate(starts), np.concatenate(ends)
-        order = np.lexsort((start, doc))
-        doc, pairs = doc[order], np.stack([start[order], end[order]], axis=1).astype(np.int32)
-        heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        blobs = [pairs[a:b].tobytes() for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(doc)], strict=True)] if len(doc) else []
-        return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "spans": pa.array(blobs, pa.binary())})
+        pairs = np.stack([np.concatenate(starts), np.concatenate(ends)], axis=1).astype(np.int32)
+        return by_document(np.concatenate(owners), pairs, buckets)
 
-    with_places = source.join(places.groupBy("doc_id").agg(F.collect_list("places").alias("places")), "doc_id")
+    with_places = source.join(places, "doc_id")
     dealt = with_places.mapInArrow(
         deal, "bucket int, doc binary, at binary, least binary, most binary, body binary, known_doc binary, known_start binary, known_end binary"
     )
-    return dealt.groupBy("bucket").applyInArrow(sort, "doc_id long, spans binary")
+    return gathered(dealt.groupBy("bucket").applyInArrow(sort, PACKED), "spans")
 
 
-def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merges each document's spans and cuts them out of its bytes."""
+def cut_spans(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
+    """Merges each document's spans and cuts them out of its bytes, or out of its characters where all bytes are covered."""
     for batch in batches:
         for part in slices(batch, "text"):
             data, bounds = text_buffer(filled(part.column("text")))
             change = np.zeros(len(data) + 1, np.int32)
-            for base, end, blobs in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column("spans").to_pylist(), strict=True):
-                if blobs:
-                    pairs = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2) + base
+            for base, end, blob in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column("spans").to_pylist(), strict=True):
+                if blob:
+                    pairs = np.frombuffer(blob, np.int32).reshape(-1, 2) + base
                     pairs = pairs[pairs[:, 1] <= end]
                     np.add.at(change, pairs[:, 0], 1)
                     np.add.at(change, pairs[:, 1], -1)
             gone = np.cumsum(change)[:-1] > 0
+            if whole_characters and len(data):
+                heads = np.flatnonzero((data & 0xC0) != 0x80)
+                gone = np.repeat(np.logical_and.reduceat(gone, heads), np.diff(np.r_[heads, len(data)]))
             raw = data.tobytes()
             kept, spans = [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -361,11 +379,12 @@ def cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", whole_characters: bool = False) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` for every document.
 
     ``spans`` are the maximal runs of bytes covered by a ``LENGTH``-byte string that also starts earlier (in a smaller id, or before in
-    the same document); ``kept`` is what is left. Null and empty texts are kept as no bytes. A null id is the lowest. Rows that
+    the same document); ``kept`` is what is left. With ``whole_characters`` a character goes only if all of its bytes are covered, so that
+    ``kept`` stays UTF-8. Null and empty texts are kept as no bytes. A null id is the lowest. Rows that
     repeat an id are read as the same document given again: they are not compared with each other and get equal results.
     Other columns are not read.
     """
@@ -378,8 +397,8 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     splitters = np.unique(grams[np.linspace(0, len(grams) - 1, min(buckets, len(grams)) + 1).astype(int)[1:-1]]) if len(grams) else grams
     held = min(total, SAMPLE_DOCS)
     frequent = np.sort(np.array([g for g, n in sample if n > max(4, held // 100)], dtype=f"S{GRAM}"))
-    spans = marked_spans(source, places, splitters, frequent, buckets).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    return source.join(spans, "doc_id", "left").mapInArrow(cut_spans, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    spans = marked_spans(source, places, splitters, frequent, buckets)
+    return source.join(spans, "doc_id", "left").mapInArrow(lambda batches: cut_spans(batches, whole_characters), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def removal_report(cut: DataFrame) -> DataFrame:
