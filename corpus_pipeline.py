@@ -1,27 +1,85 @@
-"""A training-corpus pipeline over documents: stages that each read what the one before kept."""
+"""A training-corpus pipeline over documents: five stages, each on all that the one before kept.
+
+1. Language identification: documents without a language (no letters, or no language has more than half the weight) go.
+2. N-gram Jaccard join: of documents linked by near-equal shingle sets, the one with the least id stays.
+3. Suffix-array dedup: characters all of whose bytes repeat an earlier 100-byte string are cut out; documents with nothing left go.
+4. Benchmark decontamination: documents that hold a window of a benchmark item go.
+5. BPE: the ids of what is left, and the text they decode to.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from jobweave.llm import decontamination, jaccard_join, ppm_language, suffix_dedup, word_bpe
+from jobweave.llm.common import NULL_ID, written
+from jobweave.llm.queries import tokenizer
+
+SURE = 0.5
+
+
+KEY = "_pipeline_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with their id as a key in which null is a value like any other."""
+    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+
 
-from jobweave.llm import decontamination
-from jobweave.llm.common import written
+def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents whose id is among the chosen ones, with their key."""
+    return _keyed(docs).join(_keyed(chosen).select(KEY).distinct(), KEY, "left_semi")
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told. The model learns from the labelled training fold of these documents."""
+    judged = ppm_language.identify(docs, ppm_language.fit(docs))
+    return _kept(docs, judged.where((F.col("lang_pred") != ppm_language.UNKNOWN) & (F.col("score") > SURE))).drop(KEY)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies; of rows that repeat an id, the first by its text."""
+    groups = jaccard_join.jaccard_components(docs)
+    kept = _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy("text"))
+    return kept.withColumn("_pipeline_place", place).where("_pipeline_place = 1").drop(KEY, "_pipeline_place")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated strings; ``n_chars`` follows the text."""
+    cut = suffix_dedup.suffix_dedup(docs, whole_characters=True)
+    left = _keyed(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.trim("text") != "")
+    rest = _keyed(docs.drop("text")).join(left, KEY)
+    return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     hits = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(hits.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti")
+    return _kept(docs, hits.where("n_hit = 0")).drop(KEY)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, the token ids and their number, and the digests of ids and decoded text."""
+    coded = word_bpe.bpe_round_trip(docs, tokenizer("word_bpe_49k.json"))
+    return coded.select("doc_id", "ids", *word_bpe.digest_columns())
 
 
-STAGES = [("benchmark decontamination", drop_contaminated)]
+STAGES = [
+    ("language identification", keep_languages),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("suffix-array dedup", cut_repeats),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", encode),
+]
 
-#: Language identification, shingle joins, byte-level repeats and BPE ids are beyond SQL.
+#: Byte contexts, shingle components, repeated byte strings and BPE ids are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order, each written as Parquet and read again."""
+    """The stages in order, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for n, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{n}")
