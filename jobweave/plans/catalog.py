@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.functions import rules, text
+from jobweave.functions import fixed, rules, text
 from jobweave.functions.vectors import norm
 from jobweave.operators import features, matching, metrics, models, recommend, segments, splits, tagging, terms, trends
 from jobweave.plans import views
@@ -121,6 +121,17 @@ def preprocess_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def preprocess_with_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole record; the mentions of all labels as one text."""
+    docs = views.documents(spark, sf_dir).select("doc_id", "text")
+    record = tagging.preprocess_with_entities(docs, "doc_id", "text", views.gazetteer(spark, sf_dir), TEST_SKILLS)
+    mentions = [F.concat(F.lit(f"{name}="), F.array_join(F.col("entities")[name], "|")) for name in fixed.ENTITY_LABELS]
+    return record.select(
+        "doc_id", "original_text_preview", "cleaned_text", listed("skills"), listed("emails"), listed("phone_numbers"), F.concat_ws(";", *mentions).alias("entities")
+    )
+
+
 @register
 def tokenize_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.documents(spark, sf_dir).select("doc_id", "text")
@@ -211,6 +222,13 @@ def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 6).alias("length"))
 
 
+@register
+def hashed_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every component of every text's hashed vector."""
+    out = features.hashed_components(views.documents(spark, sf_dir), "doc_id", "text", stop_words=TEST_STOP_WORDS)
+    return out.select("doc_id", "slot", r6("value"))
+
+
 @register
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.salary_features(spark, sf_dir).select("job_id", "experience_numeric", "salary_midpoint")

@@ -278,6 +278,17 @@ def _build() -> dict[str, str]:
         f"{_array(emails, 'emails')}, {_array(phones, 'phone_numbers')} "
         f"FROM (SELECT doc_id, text, {clean('text')} AS c FROM documents)"
     )
+    entities = " || ';' || ".join(f"'{name}=' || max(mentions) FILTER (label = '{name}')" for name in fixed.ENTITY_LABELS)
+    out["preprocess_with_entities"] = (
+        f"SELECT * FROM ({out['preprocess_documents']}) JOIN (SELECT doc_id, {entities} AS entities FROM ({out['tag_entities']}) GROUP BY doc_id) USING (doc_id)"
+    )
+    out["hashed_components"] = (
+        f"WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents), "
+        f"c AS (SELECT doc_id, CAST({hash_bits('term')} % {fixed.EMBEDDING_DIM} AS INTEGER) AS slot, count(*) AS tf FROM t GROUP BY ALL), "
+        "w AS (SELECT slot, ln(CAST((SELECT count(*) FROM documents) + 1 AS DOUBLE) / (count(*) + 1)) AS idf FROM c GROUP BY slot), "
+        "r AS (SELECT doc_id, slot, tf * idf AS raw FROM c JOIN w USING (slot)) "
+        "SELECT doc_id, slot, round(value, 6) AS value FROM (SELECT doc_id, slot, raw / nullif(sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 0) AS value FROM r) WHERE value <> 0"
+    )
     out["tokenize_ngrams"] = (
         f"SELECT doc_id, {_array(_NGRAMS, 'tokens')} FROM (SELECT doc_id, {_TOKENS} AS t FROM documents)"
     )

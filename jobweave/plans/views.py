@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobweave.functions import rules
 from jobweave.functions.text import clean_text, match_terms
+from jobweave.operators.joins import salted_join
 
 # Vocabulary that occurs in the test documents.
 TEST_SKILLS = [
@@ -141,7 +142,7 @@ def title_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each posting's salary beside the mean of its title: a naive prediction."""
     rows = salary_features(spark, sf_dir)
     means = rows.groupBy("title").agg(F.avg("salary_midpoint").alias("predicted"))
-    return rows.join(means, "title")
+    return salted_join(rows, means, "title", ["job_id"])
 
 
 def posting_skill_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +173,7 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings as offers to candidates, with the features of the acceptance model."""
     p = postings(spark, sf_dir).withColumn("mid", rules.salary_midpoint(F.col("salary_min"), F.col("salary_max")))
     means = p.groupBy("title").agg(F.avg("mid").alias("market"))
-    return p.join(means, "title").select(
+    return salted_join(p, means, "title", ["job_id"]).select(
         F.col("job_id").alias("offer_id"),
         ((F.col("job_id") % 100) / F.lit(100.0)).alias("match_score"),
         rules.salary_diff_percentage(F.col("mid"), F.col("market")).alias("salary_diff_percentage"),

@@ -179,3 +179,15 @@ def test_assignment_to_centroids_breaks_ties_by_number(spark):
     points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 3.0])], "id int, v array<double>")
     got = {r["id"]: (r["cluster"], r["distance"]) for r in segments.assign_clusters(points, "id", "v", centroids).collect()}
     assert got == {1: (0, 1.0), 2: (1, 1.0)}
+
+
+def test_hashed_components_have_unit_length(spark, texts):
+    rows = features.hashed_components(texts, "id", "text", dim=16, stop_words=[]).collect()
+    length: dict = {}
+    for r in rows:
+        assert 0 <= r["slot"] < 16
+        length[r["id"]] = length.get(r["id"], 0.0) + r["value"] ** 2
+    assert length and all(v == pytest.approx(1.0) for v in length.values())
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "aa bb"), (3, "aa bb")], "id int, text string")
+    assert {r["id"] for r in features.hashed_components(odd, "id", "text").collect()} <= {3}
+    assert features.hashed_components(odd.limit(0), "id", "text").count() == 0
