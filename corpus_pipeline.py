@@ -1,6 +1,6 @@
 """A training-corpus pipeline over documents: five stages, each on all that the one before kept.
 
-1. Language identification: documents without a language (no letters, or no language has more than half the weight) go.
+1. Language identification: documents without a language (null texts and texts without letters) go.
 2. N-gram Jaccard join: of documents linked by near-equal shingle sets, the one with the least id stays.
 3. Suffix-array dedup: characters all of whose bytes repeat an earlier 100-byte string are cut out; documents with nothing left go.
 4. Benchmark decontamination: documents that hold a window of a benchmark item go.
@@ -16,7 +16,6 @@ from jobweave.llm import decontamination, jaccard_join, ppm_language, suffix_ded
 from jobweave.llm.common import NULL_ID, written
 from jobweave.llm.queries import tokenizer
 
-SURE = 0.5
 
 
 KEY = "_pipeline_key"
@@ -35,7 +34,7 @@ def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told. The model learns from the labelled training fold of these documents."""
     judged = ppm_language.identify(docs, ppm_language.fit(docs))
-    return _kept(docs, judged.where((F.col("lang_pred") != ppm_language.UNKNOWN) & (F.col("score") > SURE))).drop(KEY)
+    return _kept(docs, judged.where(F.col("lang_pred") != ppm_language.UNKNOWN)).drop(KEY)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
