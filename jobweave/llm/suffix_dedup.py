@@ -34,6 +34,8 @@ GRAM = 40
 SPAN = LENGTH - GRAM + 1
 #: Documents of the sample that splitters and frequent grams come from, at about which it is held at any size of the corpus.
 SAMPLE_DOCS = 2000
+#: Grams of that sample that reach the driver at most, about.
+SAMPLE_GRAMS = 100_000
 #: Windows in a stretch of a frequent gram.
 STRETCH = 8
 SLICE = 1 << 20
@@ -223,19 +225,20 @@ def repeated_grams(source: DataFrame, buckets: int) -> DataFrame:
     return gathered(dealt.groupBy("bucket").applyInArrow(count, PACKED), "places")
 
 
-def sampled_grams(source: DataFrame, docs: int) -> list[tuple[bytes, int]]:
-    """Chosen grams of about ``SAMPLE_DOCS`` documents, an eighth of the grams, with the number of sampled documents that hold each."""
+def sampled_grams(source: DataFrame, docs: int, size: int) -> list[tuple[bytes, int]]:
+    """Chosen grams of about ``SAMPLE_DOCS`` documents, at most an eighth of the grams, with the number of sampled documents that hold each."""
+    every = max(1, docs // SAMPLE_DOCS)
+    share = max(8, int(2 * size / (SPAN + 1) / every / SAMPLE_GRAMS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 data, _, row, place, mark, _, _ = slice_grams(part)
-                some = np.flatnonzero(mark % np.uint64(8) == 0)
+                some = np.flatnonzero(mark % np.uint64(share) == 0)
                 some = some[np.unique(np.stack([row[some].astype(np.uint64), mark[some]]), axis=1, return_index=True)[1]]
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([raw[p : p + GRAM] for p in place[some].tolist()], pa.binary())], ["gram"])
 
-    every = max(1, docs // SAMPLE_DOCS)
     sample = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInArrow(run, "gram binary")
     return [(bytes(r["gram"]), r["n"]) for r in sample.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).collect()]
 
@@ -392,7 +395,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wh
     total, size = source.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     buckets = max(partitions(docs.sparkSession), size // (8 << 20) + 1)
     places = written(repeated_grams(source, buckets), "repeated-grams")
-    sample = sampled_grams(source, total)
+    sample = sampled_grams(source, total, size)
     grams = np.sort(np.array([g for g, _ in sample], dtype=f"S{GRAM}"))
     splitters = np.unique(grams[np.linspace(0, len(grams) - 1, min(buckets, len(grams)) + 1).astype(int)[1:-1]]) if len(grams) else grams
     held = min(total, SAMPLE_DOCS)

@@ -34,7 +34,7 @@ def test_removed_bytes_of_frequent_grams(docs, texts, monkeypatch):
     cut = suffix_dedup.marked_spans
 
     def all_frequent(source, places, splitters, frequent, buckets):
-        grams = suffix_dedup.sampled_grams(source, 1)
+        grams = suffix_dedup.sampled_grams(source, 1, 1)
         hot = suffix_dedup.np.sort(suffix_dedup.np.array([g for g, _ in grams], dtype=f"S{suffix_dedup.GRAM}"))
         return cut(source, places, splitters, hot, buckets)
 
