@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jobweave.llm import (
     decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe,
 )
+from jobweave.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,5 +75,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination, op9_jaccard_join, op10_warc_derivatives,
     )
 }
-
-ORACLES: dict[str, str] = {}
