@@ -1,8 +1,8 @@
 """BPE encoding and decoding by a table of distinct words.
 
-Texts are split into words; each slice of documents keeps its words as numbers into its own word list. The lists are dealt by a hash
+Texts are split into words; each slice of documents numbers its words as they first appear. The word lists are dealt by a hash
 of the word, so that every distinct word meets in one bucket and is encoded once there, and the ids go back to the slices that asked. A slice
-then joins ids to its words by position. A word of any frequency is one row per slice; no text or id stream is shuffled
+then joins ids to its words by position. Words are split twice, for the lists and for the positions, which is cheaper than to keep them. A word of any frequency is one row per slice; no text or id stream is shuffled
 more than once, and nothing is broadcast but the vocabulary, whose size is fixed by the tokenizer's file. Decoding joins ids to
 the pieces of that vocabulary.
 """
@@ -21,12 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import filled, id_array, ids, keyed, partitions, slices, text_bytes, worker_cache, written
+from jobweave.llm.common import filled, id_array, ids, keyed, partitions, slices, text_bytes, worker_cache
 
 #: Texts without these characters are normalised by lower-casing and splitting alone: nothing composes below U+0300.
 UNUSUAL = re.compile("[\x1c-\x1f\u0300-\U0010ffff]")
 #: Marks a special token among words; no word holds a blank.
 MARK = " "
+#: Bytes of text in a slice.
+SLICE = 8 << 20
 
 
 class WordTokenizer:
@@ -81,39 +83,56 @@ def widen(blob: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def split_slices(source: DataFrame, path: str, buckets: int) -> DataFrame:
-    """For each slice one row of its documents (bucket -1) and one row of words for each bucket."""
+def numbered_slices(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int, pa.RecordBatch, dict[str, int], np.ndarray, list[int]]]:
+    """For each slice its number, its rows, its distinct words numbered as they first appear, the words of each row and all words by number."""
+    tokenizer = machine(path)
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            texts = filled(part.column("text")).to_pylist()
+            index: dict[str, int] = {}
+            counts = np.zeros(len(texts), np.uint32)
+            stream: list[int] = []
+            for n, text in enumerate(texts):
+                words = tokenizer.words(text)
+                counts[n] = len(words)
+                stream.extend([index.setdefault(w, len(index)) for w in words])
+            yield number, part, index, counts, stream
+            number += 1
+
+
+def word_rows(source: DataFrame, path: str, buckets: int) -> DataFrame:
+    """The distinct words of each slice, a row for each bucket: ``slice, bucket``, the words and their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = machine(path)
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            for part in slices(batch, "text"):
-                texts = filled(part.column("text")).to_pylist()
-                index: dict[str, int] = {}
-                counts = np.zeros(len(texts), np.uint32)
-                stream: list[int] = []
-                for n, text in enumerate(texts):
-                    words = tokenizer.words(text)
-                    counts[n] = len(words)
-                    stream.extend([index.setdefault(w, len(index)) for w in words])
-                used = np.array(stream, np.uint32)
-                by_use = np.argsort(-np.bincount(used, minlength=len(index)), kind="stable")
-                rank = np.empty(len(index), np.uint32)
-                rank[by_use] = np.arange(len(index), dtype=np.uint32)
-                words = list(index)
-                bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int32, len(words))
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.r_[True, bucket[order[1:]] != bucket[order[:-1]]]).tolist() if len(words) else []
-                rows = [(-1, squeeze(ids(part.column("doc_id"))), squeeze(counts), squeeze(rank[used]))]
-                for a, b in zip(cuts, [*cuts[1:], len(words)][: len(cuts)], strict=True):
-                    own = order[a:b]
-                    rows.append((int(bucket[own[0]]), zstandard.compress("\n".join([words[i] for i in own.tolist()]).encode(), 1), squeeze(rank[own]), b""))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
-                    ["slice", "bucket", "first", "second", "third"],
-                )
-                number += 1
+        for number, _, index, _, _ in numbered_slices(batches, path):
+            words = list(index)
+            if not words:
+                continue
+            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int32, len(words))
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, bucket[order[1:]] != bucket[order[:-1]]]).tolist()
+            rows = []
+            for a, b in zip(cuts, [*cuts[1:], len(words)], strict=True):
+                own = order[a:b]
+                rows.append((int(bucket[own[0]]), zstandard.compress("\n".join([words[i] for i in own.tolist()]).encode(), 3), squeeze(np.diff(own, prepend=0).astype(np.uint32))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]],
+                ["slice", "bucket", "first", "second"],
+            )
+
+    return source.mapInArrow(run, "slice long, bucket int, first binary, second binary")
+
+
+def document_rows(source: DataFrame, path: str) -> DataFrame:
+    """A row for each slice (bucket -1): its ids, the words of each document, and all words by number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, part, _, counts, stream in numbered_slices(batches, path):
+            blobs = squeeze(ids(part.column("doc_id"))), squeeze(counts), squeeze(np.array(stream, np.uint32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([-1], pa.int32()), *[pa.array([b], pa.binary()) for b in blobs]], ["slice", "bucket", "first", "second", "third"]
+            )
 
     return source.mapInArrow(run, "slice long, bucket int, first binary, second binary, third binary")
 
@@ -150,16 +169,18 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", id_
         rows = table.to_pylist()
         head = next(r for r in rows if r["bucket"] < 0)
         doc, counts, stream = widen(head["first"], "i8"), widen(head["second"], "u4"), widen(head["third"], "u4")
-        size = np.zeros(int(stream.max()) + 1 if len(stream) else 0, np.int64)
+        size = np.full(int(stream.max()) + 1 if len(stream) else 0, -1, np.int64)
         place = np.zeros(len(size), np.int64)
         flat, base = [], 0
         for r in rows:
             if r["bucket"] >= 0:
-                own, lengths, numbers = widen(r["first"], "u4"), widen(r["second"], "u4").astype(np.int64), widen(r["third"], "u4")
+                own, lengths, numbers = np.cumsum(widen(r["first"], "u4")), widen(r["second"], "u4").astype(np.int64), widen(r["third"], "u4")
                 size[own] = lengths
                 place[own] = base + np.cumsum(lengths) - lengths
                 flat.append(numbers)
                 base += len(numbers)
+        if (size < 0).any():
+            raise ValueError("a slice lacks ids of its words: the input gave other slices when it was read again")
         numbers = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
         lengths = size[stream]
         before = np.cumsum(lengths) - lengths
@@ -167,14 +188,13 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", id_
         word_bounds = np.r_[0, np.cumsum(counts.astype(np.int64))]
         bounds = np.r_[before, len(every)][word_bounds].astype(np.int32)
         piece = tokenizer.pieces.__getitem__
-        listed = every.tolist()
-        decoded = [" ".join(map(piece, listed[a:b])) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        decoded = [" ".join(map(piece, every[a:b].tolist())) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         return pa.table({"doc_id": id_array(doc), "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(every)), "decoded": pa.array(decoded, pa.string())})
 
     source = keyed(docs.withColumn("text", F.col(text).cast("string")), id_col, "text")
     buckets = max(partitions(docs.sparkSession), text_bytes(source, "text") // (8 << 20) + 1)
-    split = written(split_slices(source, tokenizer_path, buckets), "word-slices")
-    joined = split.where("bucket < 0").unionByName(encoded_words(split.where("bucket >= 0"), tokenizer_path))
+    # Both branches read the same partitions of the input, so their slices are the same; assemble() checks it.
+    joined = document_rows(source, tokenizer_path).unionByName(encoded_words(word_rows(source, tokenizer_path, buckets), tokenizer_path))
     return joined.groupBy("slice").applyInArrow(assemble, "doc_id long, ids array<int>, decoded string")
 
 
