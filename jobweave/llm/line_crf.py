@@ -49,7 +49,6 @@ def measure(data: np.ndarray, bounds: np.ndarray) -> tuple[dict[str, np.ndarray]
     rows = len(bounds) - 1
     starts, ends, words = words_of(data, bounds)
     n_words = np.diff(words)
-    whole = np.zeros(len(data), bool)
     edge = np.zeros(len(data) + 1, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, ends, -1)
