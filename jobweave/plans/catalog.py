@@ -431,6 +431,15 @@ def recommend_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("resume_id", "job_id", r6("score"), "rank")
 
 
+@register
+def recommend_content_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts in, recommendations out: the vectors are made here."""
+    jobs = views.with_skills(views.jobs(spark, sf_dir), "description").drop("embedding")
+    resumes = views.resumes(spark, sf_dir).drop("embedding")
+    out = recommend.recommend_content_from_text(resumes, jobs, 3, TEST_SKILLS, TEST_STOP_WORDS)
+    return out.select("resume_id", "job_id", r6("score"), "rank")
+
+
 @register
 def recommend_cosine_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = views.matching_sides(spark, sf_dir)

@@ -282,13 +282,14 @@ def _build() -> dict[str, str]:
     out["preprocess_with_entities"] = (
         f"SELECT * FROM ({out['preprocess_documents']}) JOIN (SELECT doc_id, {entities} AS entities FROM ({out['tag_entities']}) GROUP BY doc_id) USING (doc_id)"
     )
-    out["hashed_components"] = (
-        f"WITH t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents), "
+    components = (
+        f"t AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents), "
         f"c AS (SELECT doc_id, CAST({hash_bits('term')} % {fixed.EMBEDDING_DIM} AS INTEGER) AS slot, count(*) AS tf FROM t GROUP BY ALL), "
         "w AS (SELECT slot, ln(CAST((SELECT count(*) FROM documents) + 1 AS DOUBLE) / (count(*) + 1)) AS idf FROM c GROUP BY slot), "
-        "r AS (SELECT doc_id, slot, tf * idf AS raw FROM c JOIN w USING (slot)) "
-        "SELECT doc_id, slot, round(value, 6) AS value FROM (SELECT doc_id, slot, raw / nullif(sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 0) AS value FROM r) WHERE value <> 0"
+        "weighed AS (SELECT doc_id, slot, tf * idf AS raw FROM c JOIN w USING (slot)), "
+        "components AS MATERIALIZED (SELECT * FROM (SELECT doc_id, slot, raw / nullif(sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 0) AS value FROM weighed) WHERE value <> 0)"
     )
+    out["hashed_components"] = f"WITH {components} SELECT doc_id, slot, round(value, 6) AS value FROM components"
     out["tokenize_ngrams"] = (
         f"SELECT doc_id, {_array(_NGRAMS, 'tokens')} FROM (SELECT doc_id, {_TOKENS} AS t FROM documents)"
     )
@@ -378,6 +379,15 @@ def _build() -> dict[str, str]:
         )
 
     out["recommend_content"] = sql("", "all_scores").strip() + f", {content(3)} SELECT resume_id, job_id, round(score, 6) AS score, rank FROM content"
+    out["recommend_content_from_text"] = (
+        sql("", "r", "j").strip()
+        + f", {components}, cosines AS MATERIALIZED (SELECT a.doc_id AS resume_id, b.doc_id AS job_id, sum(a.value * b.value) AS c FROM components a JOIN components b USING (slot) "
+        "WHERE a.doc_id IN (SELECT resume_id FROM r) AND b.doc_id IN (SELECT job_id FROM j) GROUP BY ALL), "
+        f"every AS (SELECT resume_id, job_id, {_KEYWORD} AS keyword, coalesce(c, 0) AS cosine FROM r CROSS JOIN j LEFT JOIN cosines USING (resume_id, job_id)) "
+        "SELECT resume_id, job_id, round(score, 6) AS score, rank FROM (SELECT resume_id, job_id, score, CAST(row_number() OVER (PARTITION BY resume_id ORDER BY round(score, 6) DESC, job_id) "
+        f"AS INTEGER) AS rank FROM (SELECT resume_id, job_id, {_SCORE} AS score FROM every WHERE resume_id IN "
+        f"(SELECT resume_id FROM resumes WHERE {clean('text')} <> ''))) WHERE rank <= 3"
+    )
     out["recommend_cosine_top5"] = sql(
         f"SELECT resume_id, job_id, round(cosine, 6) AS match_score, rank, title, description, {_array('skills', 'skills')} FROM ({best('cosine', 5)})",
         "all_scores",
