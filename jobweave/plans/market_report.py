@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.functions import fixed, rules
-from jobweave.operators import features, matching, metrics, models, segments, tagging, trends
+from jobweave.operators import features, matching, metrics, models, recommend, segments, tagging, trends
 
 
 @dataclass
 class ReportInputs:
     """``resumes``: ``resume_id, text``. ``postings``: the columns of the posting schema with a unique
-    ``job_id``. ``offers``, optional: the acceptance features, ``accepted_offer`` and ``offer_id``."""
+    ``job_id``. ``offers``, optional: the acceptance features, ``accepted_offer`` and ``offer_id``.
+    ``interactions``, optional: ``user_id, item_id``, of the types of ``resume_id`` and ``job_id``."""
 
     resumes: DataFrame
     postings: DataFrame
     offers: DataFrame | None = None
+    interactions: DataFrame | None = None
 
 
 def prepare_resumes(resumes: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
@@ -77,9 +79,14 @@ def run_report(
     left = keep("resume_vectors", features.embed_texts(resumes.select("resume_id", "cleaned_text", "skills"), "cleaned_text", embedder))
     right = keep("posting_vectors", features.embed_texts(postings.select("job_id", "title", "cleaned_text", "skills"), "cleaned_text", embedder))
 
-    matches = keep("matches", matching.match_all_topk(left, right, top))
+    ranked = keep("ranked_matches", matching.match_all_topk(left, right, 2 * top))
+    matches = keep("matches", ranked.where(F.col("rank") <= top))
     keep("match_histogram", trends.score_histogram(matches, "score"))
 
+    content = ranked.select(F.col("resume_id").alias("user_id"), F.col("job_id").alias("item_id"), "rank")
+    peers = None if inputs.interactions is None else recommend.recommend_collaborative(inputs.interactions, n=2 * top)
+    keep("recommendations", recommend.recommend_hybrid(content, peers, top))
+
     labelled = postings.select("job_id", F.col("cleaned_text").alias("cleaned_description"), F.coalesce("experience_level", F.lit("Unknown")).alias("job_category"))
     category = models.train_job_classifier(labelled, "job_id", path=f"{out_dir}/models/category", stop_words=stop_words)
     keep("category_report", category.tables["report"])
@@ -90,15 +97,23 @@ def run_report(
         salaries, "job_id", path=f"{out_dir}/models/salary", numeric=("experience_numeric", "num_skills")
     )
     keep_metrics("salary_metrics", salary.metrics)
-    keep("salary_predictions", models.predict_salary(salaries, salary.model).select("job_id", "salary_midpoint", "predicted_salary"))
+    predicted = keep("salary_predictions", models.predict_salary(salaries, salary.model).select("job_id", "salary_midpoint", "predicted_salary"))
+    test = salaries.join(salary.tables["test"].select("job_id"), "job_id", "left_semi")
+    keep("salary_actual_vs_predicted", metrics.actual_vs_predicted(test, predicted, "job_id", "salary_midpoint", "predicted_salary"))
     keep("salary_by_title", trends.avg_salary_by_title(salaries, "title", "salary_midpoint"))
 
     if inputs.offers is not None:
         acceptance = models.train_acceptance_predictor(inputs.offers, "offer_id", path=f"{out_dir}/models/acceptance")
         keep_metrics("acceptance_metrics", acceptance.metrics)
+        keep("acceptance_report", acceptance.tables["report"])
+        keep("acceptance_confusion", acceptance.tables["confusion"])
+        keep("acceptance_predictions", models.predict_acceptance(inputs.offers, acceptance.model).select("offer_id", "acceptance_probability"))
+        acceptance.release()
 
     _, clustered = segments.cluster_jobs(right, "embedding", clusters)
     keep("segments", segments.project_2d(clustered)[0].select("job_id", "cluster", "x", "y"))
     used = trends.posting_skills(postings, "skills", ["job_id"])
     keep("skill_frequency", trends.skill_frequency(used, n=10))
+    category.release()
+    salary.release()
     return paths
