@@ -137,22 +137,23 @@ def _build(languages: list[str], found: pa.Table) -> Model:
     ordered = sorted(kept)
     number = {k: i for i, k in enumerate(ordered)}
     row = np.fromiter((number.get(k, -1) for k in zip(depth.tolist(), context.tolist(), strict=True)), np.int64, len(depth))
-    counts = np.zeros((len(languages), len(ordered), SYMBOLS), np.int32)
-    in_tree = row >= 0
-    counts[who[in_tree], row[in_tree], symbol[in_tree]] = total[in_tree]
-    bits = np.zeros(counts.shape, np.float32)
-    for at, (d, c) in enumerate(ordered):
-        shorter = bits[:, number[d - 1, c & ((1 << 7 * (d - 1)) - 1)]] if d else np.full((len(languages), SYMBOLS), 8.0, np.float32)
-        own = counts[:, at]
-        seen = own.sum(axis=1, keepdims=True)
-        distinct = (own > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore"):
-            escape = np.where(seen > 0, np.log2((seen + distinct) / np.maximum(distinct, 1)), 0.0)
-            direct = np.log2((seen + distinct) / np.maximum(own, 1))
-        bits[:, at] = np.where(own > 0, direct, shorter + escape)
+    lengths = np.zeros((len(ordered) * SYMBOLS, len(languages)), np.uint16)
+    for language in range(len(languages)):  # one at a time, so that the driver holds the counts of one language
+        mine = (row >= 0) & (who == language)
+        counts = np.zeros((len(ordered), SYMBOLS), np.int32)
+        counts[row[mine], symbol[mine]] = total[mine]
+        bits = np.zeros(counts.shape, np.float32)
+        for at, (d, c) in enumerate(ordered):
+            shorter = bits[number[d - 1, c & ((1 << 7 * (d - 1)) - 1)]] if d else np.full(SYMBOLS, 8.0, np.float32)
+            own = counts[at]
+            seen, distinct = int(own.sum()), int((own > 0).sum())
+            if seen:
+                bits[at] = np.where(own > 0, np.log2((seen + distinct) / np.maximum(own, 1)), shorter + np.log2((seen + distinct) / distinct))
+            else:
+                bits[at] = shorter
+        lengths[:, language] = np.minimum(np.rint(bits * STEPS), 65_535).astype(np.uint16).ravel()
     nodes = [tuple((c >> (7 * (d - 1 - i))) & 127 for i in range(d)) for d, c in ordered]
-    lengths = np.minimum(np.rint(bits * STEPS), 65_535).astype(np.uint16)
-    return Model(languages, symbol_of, nodes, np.ascontiguousarray(lengths.transpose(1, 2, 0).reshape(-1, len(languages))))
+    return Model(languages, symbol_of, nodes, lengths)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
