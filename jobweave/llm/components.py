@@ -37,6 +37,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _seal(edges: DataFrame) -> tuple:
-    """Number of edges and two sums over their hashes: equal for equal edge sets."""
+    """Number of edges and sums over four parts of their hashes: equal for equal edge sets. A part has 16 bits, so no sum of fewer than 2^47 edges overflows."""
     mixed = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(mixed, 20)), F.sum(mixed.bitwiseAND(F.lit((1 << 40) - 1)))).first())
+    return tuple(edges.agg(F.count(F.lit(1)), *[F.sum(F.shiftright(mixed, n).bitwiseAND(F.lit(0xFFFF))) for n in (0, 16, 32, 48)]).first())

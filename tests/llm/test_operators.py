@@ -12,7 +12,7 @@ from llm import brute
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from jobweave.llm import decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe
+from jobweave.llm import components, decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe
 from jobweave.llm.components import connected_components
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -305,6 +305,11 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_seal_of_many_edges(spark):
+    edges = spark.range(0, 1 << 25, 1, 8).select(F.col("id").alias("a"), F.lit(-1).cast("long").alias("b"))
+    assert components._seal(edges)[0] == 1 << 25 and components._seal(edges) != components._seal(edges.withColumn("b", F.lit(-2).cast("long")))
+
+
 # 10 WARC derivatives
 
 
