@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobweave.llm import decontamination, jaccard_join, ppm_language, suffix_dedup, word_bpe
-from jobweave.llm.common import NULL_ID, written
+from jobweave.llm.common import NULL_ID, row_keys, written
 from jobweave.llm.queries import tokenizer
 
 
@@ -21,42 +21,53 @@ from jobweave.llm.queries import tokenizer
 KEY = "_pipeline_key"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with their id as a key in which null is a value like any other."""
-    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents with a key for each distinct id and text, in the order of ids, and whether rows share a key."""
+    return row_keys(docs, "doc_id", "text", KEY)
+
+
+def _keys(judged: DataFrame) -> DataFrame:
+    """Verdicts with the key that an operator gave back as ``doc_id``, the lowest as null."""
+    return judged.withColumn(KEY, F.coalesce(F.col("doc_id"), F.lit(NULL_ID)))
 
 
 def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The documents whose id is among the chosen ones, with their key."""
-    return _keyed(docs).join(_keyed(chosen).select(KEY).distinct(), KEY, "left_semi")
+    """The keyed documents whose key is among the chosen ones."""
+    return docs.join(_keys(chosen).select(KEY).distinct(), KEY, "left_semi")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told. The model learns from the labelled training fold of these documents."""
-    judged = ppm_language.identify(docs, ppm_language.fit(docs))
-    return _kept(docs, judged.where(F.col("lang_pred") != ppm_language.UNKNOWN)).drop(KEY)
+    keyed, _ = _keyed(docs)
+    judged = ppm_language.identify(keyed, ppm_language.fit(docs), id_col=KEY)
+    return _kept(keyed, judged.where(F.col("lang_pred") != ppm_language.UNKNOWN)).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies; of rows that repeat an id, the first by its text."""
-    groups = jaccard_join.jaccard_components(docs)
-    kept = _kept(docs, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    place = F.row_number().over(Window.partitionBy(KEY).orderBy("text"))
-    return kept.withColumn("_pipeline_place", place).where("_pipeline_place = 1").drop(KEY, "_pipeline_place")
+    """The document with the least id of each group of near copies; of rows that repeat an id and its text, the first by the other columns."""
+    keyed, shared = _keyed(docs)
+    groups = jaccard_join.jaccard_components(keyed, id_col=KEY)
+    kept = _kept(keyed, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    if shared:
+        place = F.row_number().over(Window.partitionBy(KEY).orderBy(*docs.columns))
+        kept = kept.withColumn("_pipeline_place", place).where("_pipeline_place = 1")
+    return kept.select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated strings; ``n_chars`` follows the text."""
-    cut = suffix_dedup.suffix_dedup(docs, whole_characters=True)
-    left = _keyed(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.trim("text") != "")
-    rest = _keyed(docs.drop("text")).join(left, KEY)
+    keyed, shared = _keyed(docs)
+    cut = suffix_dedup.suffix_dedup(keyed, id_col=KEY, whole_characters=True, one_text=True)
+    left = _keys(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.trim("text") != "")
+    rest = keyed.drop("text").join(left.dropDuplicates([KEY]) if shared else left, KEY)
     return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    hits = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _kept(docs, hits.where("n_hit = 0")).drop(KEY)
+    keyed, _ = _keyed(docs)
+    hits = decontamination.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=KEY)
+    return _kept(keyed, hits.where("n_hit = 0")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,6 +76,25 @@ def keyed(docs: DataFrame, id_col: str, *columns: str) -> DataFrame:
     )
 
 
+def row_keys(docs: DataFrame, id_col: str, text: str, key: str) -> tuple[DataFrame, bool]:
+    """The rows with a long ``key``, and whether rows share one: equal where id and text are equal (null reads as empty text), ordered by id, null first.
+
+    Where every id has one text, the key is the id, with null as the lowest. Else the distinct pairs of id and text digest are numbered in
+    their order, in a written table, so that a repeated task finds the same keys.
+    """
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    named = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
+    hashed = named.select(key, F.xxhash64(body).alias("x"), F.xxhash64(F.lit(1), body).alias("y"))
+    each = hashed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}{i}") for c in "xy" for i, f in enumerate((F.min, F.max))])
+    shared, mixed = each.agg(F.coalesce(F.max("n"), F.lit(0)) > 1, F.coalesce(F.max((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))), F.lit(False))).first()
+    if not mixed:
+        return named, shared
+    named = named.withColumnRenamed(key, "_row_id").withColumn("_row_digest", F.sha2(body, 256))
+    pairs = named.select("_row_id", "_row_digest").distinct().orderBy("_row_id", "_row_digest")
+    numbered = written(pairs.withColumn(key, F.monotonically_increasing_id()), "row-keys")
+    return named.join(numbered, ["_row_id", "_row_digest"]).drop("_row_id", "_row_digest"), shared
+
+
 def real_id(column: str = "doc_id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 

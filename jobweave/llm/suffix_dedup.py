@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.llm.common import (
-    byte_codes, filled, id_array, ids, keyed, mix, pack, partitions, slices, text_buffer, unpack, written,
+    byte_codes, filled, id_array, ids, keyed, mix, pack, partitions, row_keys, slices, text_buffer, unpack, written,
 )
 
 LENGTH = 100
@@ -341,7 +341,7 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
         pairs = np.stack([np.concatenate(starts), np.concatenate(ends)], axis=1).astype(np.int32)
         return by_document(np.concatenate(owners), pairs, buckets)
 
-    with_places = source.join(places, "doc_id")
+    with_places = source.select("doc_id", "text").join(places, "doc_id")
     dealt = with_places.mapInArrow(
         deal, "bucket int, doc binary, at binary, least binary, most binary, body binary, known_doc binary, known_start binary, known_end binary"
     )
@@ -376,22 +376,25 @@ def cut_spans(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iter
                     spans.append([])
                     kept.append(raw[a:b])
             yield pa.RecordBatch.from_arrays(
-                [id_array(ids(part.column("doc_id"))), pa.array(np.diff(bounds), pa.int64()),
+                [id_array(ids(part.column("own_id"))), pa.array(np.diff(bounds), pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"],
             )
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", whole_characters: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", whole_characters: bool = False, one_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` for every document.
 
     ``spans`` are the maximal runs of bytes covered by a ``LENGTH``-byte string that also starts earlier (in a smaller id, or before in
     the same document); ``kept`` is what is left. With ``whole_characters`` a character goes only if all of its bytes are covered, so that
     ``kept`` stays UTF-8. Null and empty texts are kept as no bytes. A null id is the lowest. Rows that
-    repeat an id are read as the same document given again: they are not compared with each other and get equal results.
-    Other columns are not read.
+    repeat an id and its text are read as the same document given again: they are not compared with each other and get equal results.
+    Different texts of one id are documents of their own, in the order of their SHA-256. ``one_text`` says that no id has two texts, so
+    that this is not looked for. Other columns are not read.
     """
-    source = keyed(docs.withColumn("text", F.col(text).cast("string")), id_col, "text")
+    source = keyed(docs.withColumn("text", F.col(text).cast("string")), id_col, "text").withColumn("own_id", F.col("doc_id"))
+    if not one_text:
+        source = row_keys(source.drop("doc_id"), "own_id", "text", "doc_id")[0]
     total, size = source.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     buckets = max(partitions(docs.sparkSession), size // (8 << 20) + 1)
     places = written(repeated_grams(source, buckets), "repeated-grams")

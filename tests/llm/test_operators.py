@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from conftest import SF_DIR
 from llm import brute
+from llm.conftest import prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -55,6 +56,16 @@ def test_removal_on_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.suffix_dedup(no_docs).count() == 0
 
 
+def test_removal_of_texts_that_share_an_id(spark):
+    a, b, c = (prose(random.Random(n), 60) for n in (101, 102, 103))
+    rows = [(None, a), (None, b), (None, None), (1, c), (1, a + " " + c), (1, b), (2, c)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, brute.sha(r[1] or "")))
+    want = brute.removed_bytes([(n, t) for n, (_, t) in enumerate(order)])
+    got = [tuple(r) for r in suffix_dedup.removal_report(suffix_dedup.suffix_dedup(frame)).collect()]
+    assert sorted(got, key=str) == sorted(((order[n][0], *w) for n, w in want.items()), key=str)
+
+
 # 2 token counts
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import random
+
 import public_tokenizers
 from conftest import SF_DIR
 from llm import brute
+from llm.conftest import prose
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from jobweave.llm.common import written
 
 
 def test_registration():
@@ -47,3 +51,19 @@ def test_run(spark):
         before = after
     want = {i: library.encode(t, add_special_tokens=False).ids for i, t in before.items()}
     assert {r["doc_id"]: list(r["ids"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == want
+
+
+def test_texts_that_share_an_id(spark, odd_docs):
+    rows = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    shared = [prose(random.Random(200 + n), 70) for n in range(30)]
+    more = spark.createDataFrame([(None if n % 2 else 5, t, "en", None, len(t)) for n, t in enumerate(shared)], rows.schema)
+    labelled = spark.createDataFrame([(100 + n, prose(random.Random(300 + n), 70), "en", None, 1) for n in range(40)], rows.schema)
+    now = rows.unionByName(more).unionByName(labelled)
+    original = [r["text"] for r in odd_docs.where("doc_id = 1").collect()][0]
+    want = sorted([original, *shared, *[r["text"] for r in labelled.collect()]])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = written(stage(spark, now, SF_DIR), "odd")
+        assert sorted(r["text"] for r in now.where("text is not null").collect() if r["text"] != original + " end") == want or stage is corpus_pipeline.keep_languages
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in now.where("doc_id is null or doc_id < 100").collect()) == sorted(
+        [(0, original), *[(0 if n % 2 else 5, t) for n, t in enumerate(shared)]]
+    )
