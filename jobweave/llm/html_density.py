@@ -4,7 +4,8 @@ Every node of a page's tree gets the characters, link characters, tags and link
 tag, weighed down by the share of links against that of the whole body. The densities of a node's block children are summed up (a block
 without such children counts with its own); the subtree with the greatest sum holds the article, and the least density on its path to the body is the threshold that
 any further subtree must reach to count as content. Parts that name themselves as no article (navigation, forms, adverts, notices,
-reader comments and the like) are taken out of the tree first.
+reader comments and the like) are taken out of the tree first; a name in a class or id alone does not take out what holds the main
+element, or most of the unlinked characters of the articles, or of the body if no article stands elsewhere.
 """
 
 from __future__ import annotations
@@ -45,13 +46,16 @@ NOISE_WORDS = frozenset(
     "disqus replies share sharing social related recommended toolbar pagination pager widget gdpr paywall skip".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
+#: Elements that may stand in a head; any other closes it.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript script style template noframes".split())
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in NO_ARTICLE or (tag == "header" and not in_article):
+def is_noise(tag: str, attributes: str) -> bool:
+    """Whether its element, role or visibility says that a part is no article."""
+    if tag in NO_ARTICLE:
         return True
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return False
@@ -61,6 +65,15 @@ def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value.lower() in ROLES:
             return True
+    return False
+
+
+def is_named_noise(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether a class or id says so."""
+    if not attributes or "=" not in attributes:
+        return False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
             words = {w.lower() for w in NAME_PART.findall(value)} | set(value.lower().split())
             if words & NOISE_WORDS or ("header" in words and not in_article):
@@ -70,13 +83,15 @@ def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
 
 def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[bool]]:
     """Tags, parents, ``(node, text)`` in page order and whether a node is out; node 0 is the root."""
-    tags, parents, out, texts = ["#root"], [-1], [False], []
+    tags, parents, out, named, texts = ["#root"], [-1], [False], [], []
     stack, at, size = [0], 0, len(page)
     inside_article = 0
     while at < size:
         found = TOKEN.search(page, at)
         begin = found.start() if found else size
         if begin > at:
+            if tags[stack[-1]] == "head" and page[at:begin].strip():
+                stack.pop()
             texts.append((stack[-1], page[at:begin]))
         if not found:
             break
@@ -95,6 +110,10 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[
             if tag in BLOCKS or tag == "br":
                 texts.append((stack[-1], "\0"))
             continue
+        if tag == "body" or (tags[stack[-1]] == "head" and tag not in IN_HEAD):
+            head = next((n for n in range(len(stack)) if tags[stack[n]] == "head"), len(stack))
+            inside_article -= sum(tags[n] in ("article", "main") for n in stack[head:])
+            del stack[head:]
         if tag in CLOSES_P or tag in CLOSES:
             closing, until = CLOSES.get(tag, (frozenset(), frozenset()))
             wanted = closing | {"p"} if tag in CLOSES_P else closing
@@ -109,8 +128,10 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[
         parent = stack[-1]
         tags.append(tag)
         parents.append(parent)
-        out.append(out[parent] or is_noise(tag, attributes or "", inside_article > 0))
+        out.append(out[parent] or (tag == "header" and not inside_article) or is_noise(tag, attributes or ""))
         node = len(tags) - 1
+        if not out[node] and is_named_noise(tag, attributes or "", inside_article > 0):
+            named.append(node)
         if tag in BLOCKS or tag == "br":
             texts.append((node, "\0" if tag != "br" else " "))
         if tag in VOID or (attributes or "").rstrip().endswith("/") and tag not in BLOCKS:
@@ -121,7 +142,39 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[
             continue
         stack.append(node)
         inside_article += tag in ("article", "main")
-    return tags, parents, texts, out
+    return tags, parents, texts, without_named(tags, parents, texts, out, named) if named else out
+
+
+def without_named(tags: list[str], parents: list[int], texts: list[tuple[int, str]], out: list[bool], named: list[int]) -> list[bool]:
+    """``out`` and the subtrees of the nodes named as noise, but for those that hold the main element, most of the articles, or most of a body without another article."""
+    n = len(tags)
+    inside, elsewhere = [False] * n, False
+    for node in named:
+        inside[node] = True
+    linked, within = [False] * n, [False] * n
+    chars, article, mains = [0] * n, [0] * n, [tag == "main" and not out[node] for node, tag in enumerate(tags)]
+    for node in range(1, n):
+        linked[node] = tags[node] == "a" or linked[parents[node]]
+        within[node] = tags[node] in ("article", "main") or within[parents[node]]
+        inside[node] |= inside[parents[node]]
+    for node, text in texts:
+        if text != "\0" and not out[node] and not linked[node]:
+            size = len("".join(text.split()))
+            chars[node] += size
+            if within[node]:
+                article[node] += size
+                elsewhere |= size > 0 and not inside[node]
+    for node in range(n - 1, 0, -1):
+        up = parents[node]
+        chars[up] += chars[node]
+        article[up] += article[node]
+        mains[up] |= mains[node]
+    out = list(out)
+    for node in named:
+        out[node] = not (mains[node] or (not elsewhere and 2 * chars[node] > chars[0]) or 2 * article[node] > article[0])
+    for node in range(1, n):
+        out[node] = out[node] or out[parents[node]]
+    return out
 
 
 def content_nodes(tags: list[str], parents: list[int], texts: list[tuple[int, str]], out: list[bool]) -> list[bool]:

@@ -19,7 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
-UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template|textarea|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+ATTRIBUTES = r"(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^>]*>)"
+#: A head ends at its end tag or before the first text or element that cannot stand in it.
+UNSEEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    rf"|<head\b{ATTRIBUTES}(?:\s|<!--.*?(?:-->|\Z)|<(script|style|noscript|template|noframes)\b{ATTRIBUTES}.*?(?:</\1\s*>|\Z)"
+    rf"|<title\b{ATTRIBUTES}.*?(?:</title\s*>|(?=</head\b|<body\b)|\Z)|<(?:meta|link|base|basefont|bgsound)\b{ATTRIBUTES}|</(?!(?:head|body|html|br)\b)[^>]*>|<[!?][^>]*>)*+(?:</head\s*>)?"
+    rf"|<(script|style|noscript|template|textarea|iframe|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\2\s*>|\Z)", re.S | re.I
+)
 BREAKS = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|center|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>", re.I
 )

@@ -189,6 +189,25 @@ def test_broken_pages(page):
     assert isinstance(html_density.main_text(page), str)
 
 
+ARTICLE = "<h1>A title</h1><p>First paragraph of some length, with nothing else in it.</p><p>Second paragraph that goes on for a while.</p>"
+HEADS = ["<head><title>T</title><meta charset=utf-8><body>", "<head><title>T</title><link rel='a'>", "<head><script>x()</script><noscript><img></noscript><title>T</title></head><body>"]
+
+
+@pytest.mark.parametrize("head", HEADS)
+def test_head_ends_where_the_body_begins(head):
+    page = f"<!DOCTYPE html><html>{head}<div>{ARTICLE}</div></html>"
+    want = ["A title", "First paragraph of some length, with nothing else in it.", "Second paragraph that goes on for a while."]
+    assert html_density.main_text(page).split("\n") == want
+    assert warc_derivatives.visible_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("wrap", ["<div class='content-sidebar-wrap'>{}</div>", "<div class='has-sidebar'><article>{}</article></div>", "<main><div id='comments-open'>{}</div></main>", "<div class='comments-open'><main>{}</main></div>"])
+def test_wrapper_of_the_article_is_kept(wrap):
+    rest = "<div class='sidebar'><p>Other things to read.</p></div><div class='related'><article><p>A card.</p></article></div>"
+    page = f"<html><head><title>T</title></head><body>{wrap.format(ARTICLE)}{rest}</body></html>"
+    assert html_density.main_text(page).split("\n") == ["A title", "First paragraph of some length, with nothing else in it.", "Second paragraph that goes on for a while."]
+
+
 def test_pages_table(spark):
     rows = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<div>" * 3000 + "deep", "z")], "page_id long, url string, html string, text string")
     got = html_density.extract_pages(rows).collect()
