@@ -155,10 +155,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of each row, and for each row bound the number of words before it."""
+def words_of(data: np.ndarray, bounds: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of each row, and for each row bound the number of words before it. ``blank`` tells for each byte value whether it parts words."""
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~BLANK[data]
+    inside[1:-1] = ~blank[data]
     first = (inside[1:-1] == 1) & (inside[:-2] == 0)
     heads = bounds[:-1][bounds[:-1] < bounds[1:]]
     first[heads] |= inside[1:-1][heads] == 1

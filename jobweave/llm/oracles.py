@@ -36,4 +36,22 @@ ORACLES = {
         p AS MATERIALIZED (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * common >= 90 * (nx.n + ny.n - common)),
         reach AS (SELECT doc_id, doc_id AS label FROM documents UNION SELECT p.y, reach.label FROM reach JOIN p ON p.x = reach.doc_id)
         SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(label) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op11_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        runs AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                 FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w CROSS JOIN (VALUES (1), (2), (3)) AS t(k) WHERE len(w) >= k)),
+        f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 10),
+        c AS (SELECT lang, k AS size, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        cuts AS (SELECT lang, size, phrase, a, k, array_to_string(w[:k], ' ') AS lhs, array_to_string(w[k + 1:], ' ') AS rhs
+                 FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+        scored AS (SELECT cuts.lang, size, cuts.phrase, cuts.a, cuts.k, x.a AS l, y.a AS r,
+                          CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+                   FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lhs JOIN f y ON y.lang = cuts.lang AND y.phrase = rhs),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (SELECT lang, phrase, max(a) AS b FROM (SELECT lang, unnest([array_to_string(w[:2], ' '), array_to_string(w[2:], ' ')]) AS phrase, a FROM c WHERE size = 3) GROUP BY ALL),
+        kept AS (SELECT weakest.* FROM weakest LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN sizes USING (lang) QUALIFY rank <= 2000""",
 }

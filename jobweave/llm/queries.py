@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobweave.llm import (
-    decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe,
+    collocations, decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, rule_ensemble, suffix_dedup, token_counts,
+    warc_derivatives, whitening, word_bpe,
 )
 from jobweave.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
@@ -68,10 +70,26 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derivatives.build_derivatives(responses, columns=("page_id", "url"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    ensemble = rule_ensemble.fit(docs, _table(spark, sf_dir, "labels"))
+    return rule_ensemble.classify(docs, ensemble).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_token_counts, op3_ppm_language, op4_hilbert_sharding, op5_word_bpe, op6_html_density, op7_line_crf,
         op8_decontamination, op9_jaccard_join, op10_warc_derivatives,
+        op11_collocations, op12_lanczos_whitening, op13_rule_ensemble,
     )
 }

@@ -1,0 +1,106 @@
+"""Phrase collocations against a plain version."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from jobweave.llm import collocations
+
+
+def plain(rows, least=10, covered=50, top=2000):
+    """The result of collocations over (text, lang) rows."""
+    counts, sizes = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            sizes[lang] += len(words)
+            for n in (1, 2, 3):
+                counts.update((lang, *words[i : i + n]) for i in range(len(words) - n + 1))
+    candidates = {p: a for p, a in counts.items() if len(p) > 2 and a >= least}
+    out = []
+    for p, a in candidates.items():
+        lang, words = p[0], p[1:]
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[(lang, *words[:k])], counts[(lang, *words[k:])]
+            cuts.append((1000000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        longer = [b for q, b in candidates.items() if q[0] == lang and len(q) > len(p) and words in (q[1:3], q[2:4])]
+        if not any(100 * b >= covered * a for b in longer):
+            out.append((lang, " ".join(words), a, left, right, sizes[lang], score))
+    out.sort(key=lambda r: (r[0].encode(), -r[6], -r[2], r[1].encode()))
+    ranks = Counter()
+    named = []
+    for r in out:
+        ranks[r[0]] += 1
+        if ranks[r[0]] <= top:
+            named.append((r[0], ranks[r[0]], *r[1:]))
+    return named
+
+
+def made(seed=1, rows=400):
+    rng = random.Random(seed)
+    vocabulary = ["the", "The", "of", "new", "york", "city", "ñandú", "été", "日本", "x", "\u0000", "big", "data", "a", "1st"]
+    fixed = ["new york city", "big data", "a a a a", "ñandú été", "of the"]
+    out = []
+    for _ in range(rows):
+        bits = [rng.choice(fixed) if rng.random() < 0.3 else rng.choice(vocabulary) for _ in range(rng.randint(0, 25))]
+        text = "".join(b + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\x0b", "!"]) for b in bits)
+        out.append((text, rng.choice(["en", "fr", None, "und", "EN"])))
+    return out + [(None, "en"), ("", None), (" . , ", "xx"), ("lonely words here", "zz")]
+
+
+def frame(spark, rows, ids=None):
+    data = [(n if ids is None else ids[n], t, lang, "x", "y", 1) for n, (t, lang) in enumerate(rows)]
+    return spark.createDataFrame(data, "doc_id long, text string, lang string, phrase string, print string, a int").repartition(4)
+
+
+def result(found):
+    return sorted((tuple(r) for r in found.collect()), key=lambda r: (r[0].encode(), r[1]))
+
+
+@pytest.mark.parametrize("top", [2000, 4])
+def test_equals_the_plain_version(spark, top):
+    rows = made()
+    got = collocations.collocations(frame(spark, rows), top=top, most=3000)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert {f.dataType.simpleString() for f in got.schema if f.name not in ("lang", "phrase")} == {"bigint"}
+    assert result(got) == plain(rows, top=top) and len(plain(rows)) > 30
+
+
+def test_shared_null_and_repeated_ids(spark):
+    rows = made(2, 150)
+    rows += rows[:60] + [(t, "fr") for t, _ in rows[:40]]
+    assert result(collocations.collocations(frame(spark, rows, [None if n % 3 else n % 7 for n in range(len(rows))]))) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert collocations.collocations(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("bits", [7, 63, 511])
+def test_colliding_fingerprints_stay_apart(spark, monkeypatch, bits):
+    """With hashes of a few bits, different phrases meet in every slice and across slices; counts stay exact."""
+    real, mask = collocations.mix, np.uint64(bits)
+    monkeypatch.setattr(collocations, "mix", lambda values: real(values) & mask)
+    rows = made(3, 200)
+    assert result(collocations.collocations(frame(spark, rows), most=2000)) == plain(rows)
+
+
+def test_long_texts_are_cut_between_pieces(spark):
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choices(["aa", "b,", "cc.", "dd", "e"], k=4000)), "en"), ("no end " * 900, "en"), ("x" * 5000, None)]
+    assert result(collocations.collocations(frame(spark, rows), most=700)) == plain(rows)
+
+
+def test_scores_beyond_64_bits(spark):
+    big = [(10**12, 10**12 + 7, 10**13), (999_999_999_999_999, 999_999_999_999_999, 999_999_999_999_999), (10, 11, 10)]
+    found = spark.createDataFrame(big, "a long, l long, r long").select(collocations.association("a", "l", "r").alias("s"), "a", "l", "r").collect()
+    assert all(x["s"] == 1000000 * x["a"] ** 2 // (x["l"] * x["r"]) for x in found)
