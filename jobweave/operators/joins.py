@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def local_table(spark: SparkSession, **columns: Sequence | pa.Array) -> DataFrame:
+    """A table of what the driver holds. It comes as Arrow, so the planner knows its size and broadcasts it only if that is small."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def salted_join(facts: DataFrame, per_key: DataFrame, key: str, spread_by: Sequence[str], salts: int | None = None) -> DataFrame:
     """``facts`` with the columns of ``per_key``, a table with one row per key.
 

@@ -6,12 +6,11 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     CountVectorizer,
     ElementwiseProduct,
     IDF,
-    IndexToString,
     Normalizer,
     OneHotEncoder,
     SQLTransformer,
@@ -28,6 +27,7 @@ from pyspark.storagelevel import StorageLevel
 from jobweave.functions.rules import hash_percent, threshold_label
 from jobweave.operators import metrics
 from jobweave.operators.features import token_stages
+from jobweave.operators.sparse_tree import TextTree, fit_text_tree
 from jobweave.operators.splits import balanced_weights, check_training_rows, drop_nulls, hash_split, stratified_split
 from jobweave.sources.models import model_or_load, save_model
 
@@ -41,7 +41,7 @@ ACCEPTANCE_MODEL = "models/acceptance"
 class Trained:
     """A fitted pipeline, its scalar metrics, and its tables of test metrics (lazy)."""
 
-    model: PipelineModel
+    model: PipelineModel | TextTree
     metrics: dict[str, float]
     tables: dict[str, DataFrame] = field(default_factory=dict)
     cached: list[DataFrame] = field(default_factory=list)
@@ -117,37 +117,24 @@ def train_job_classifier(
     path: str | None = None,
     stop_words: Sequence[str] | None = None,
     max_depth: int = 30,
-    fit_rows: int = 500_000,
 ) -> Trained:
-    """TF-IDF and a class-balanced decision tree on an 80/20 stratified split.
+    """TF-IDF and a class-balanced decision tree on an 80/20 stratified split; ``id_col`` is unique.
 
-    TF-IDF is fitted on the train rows only. The tree is grown to Spark's depth limit. About ``fit_rows`` train rows, chosen by
-    a hash of the id, are fitted on at most; this bounds the vocabulary, of which no term within the limits is dropped.
-    All rows are scored.
+    TF-IDF is fitted on the train rows only, with every term of two documents or more and at most 95 % of them. All train rows
+    are fitted on: the tree is grown on sparse rows (:mod:`jobweave.operators.sparse_tree`), so nothing grows with texts times terms.
     """
     rows = drop_nulls(df, [id_col, text_col, label_col]).select(id_col, text_col, F.col(label_col).cast("string").alias(label_col))
     info = check_training_rows(rows, label_col)
     split = stratified_split(rows, label_col, id_col, 0.8).persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.where("is_train")
-    total = check_training_rows(train, label_col)["rows"]
-    if total > fit_rows:
-        train = train.where(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * fit_rows / total))
-    head, scratch = fit_tfidf_stages(train, text_col, "_features", stop_words, True, None, 2.0, 0.95)
-    indexer = StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="keep").fit(train)
-    prepared = indexer.transform(head.transform(_balanced(train, label_col)))
-    tree = DecisionTreeClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction",
-        rawPredictionCol="_raw", probabilityCol="_probability", maxDepth=max_depth, seed=42, maxMemoryInMB=512,
-    ).fit(prepared)
-    names = IndexToString(inputCol="_prediction", outputCol="predicted_category", labels=indexer.labels)
-    model = chain([*head.stages, tree, names, _drop([*scratch, "_features", "_raw", "_probability", "_prediction"])])
-    scored = model.transform(split).select(id_col, label_col, "is_train", "predicted_category").persist(StorageLevel.MEMORY_AND_DISK)
+    check_training_rows(split.where("is_train"), label_col)
+    model, found = fit_text_tree(split, id_col, text_col, label_col, "is_train", stop_words, max_depth)
+    scored = found.persist(StorageLevel.MEMORY_AND_DISK)
     accuracy = scored.groupBy("is_train").agg(F.avg((F.col(label_col) == F.col("predicted_category")).cast("double")).alias("a"))
     by_part = {r["is_train"]: r["a"] for r in accuracy.collect()}
     split.unpersist()
     test = scored.where(~F.col("is_train"))
     if path:
-        save_model(model, path)
+        model.save(path)
     return Trained(
         model,
         {"train_accuracy": by_part.get(True), "test_accuracy": by_part.get(False), "rows": info["rows"]},
@@ -156,9 +143,9 @@ def train_job_classifier(
     )
 
 
-def predict_job_category(df: DataFrame, model: PipelineModel | None = None, path: str = CATEGORY_MODEL) -> DataFrame:
+def predict_job_category(df: DataFrame, model: TextTree | None = None, path: str = CATEGORY_MODEL) -> DataFrame:
     """``df`` with ``predicted_category``; empty in, empty out. Without a model the saved one is loaded."""
-    return model_or_load(model, path).transform(df)
+    return (TextTree.load(df.sparkSession, path) if model is None else model).transform(df)
 
 
 # --- salary -------------------------------------------------------------------------------

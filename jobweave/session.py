@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -68,6 +68,13 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: lineage ends there, and any executor can read it."""
+    path = new_scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 _scratch: list[tuple[SparkSession, str]] = []
 
 
