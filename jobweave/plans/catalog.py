@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobweave.functions import fixed, rules, text
 from jobweave.functions.vectors import norm
-from jobweave.operators import features, matching, metrics, models, recommend, segments, splits, tagging, terms, trends
+from jobweave.operators import features, matching, metrics, models, recommend, segments, skill_join, splits, tagging, terms, trends
 from jobweave.plans import views
 from jobweave.plans.views import TEST_SKILLS, TEST_STOP_WORDS, table
 from jobweave.session import new_scratch_path
@@ -260,6 +260,19 @@ def keyword_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.score_pairs(views.applications(spark, sf_dir), left, right).select("resume_id", "job_id", r6("keyword"))
 
 
+@register
+def keyword_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of rows that share at least a quarter of their skills, found through the rarest ones."""
+    left, right = views.matching_sides(spark, sf_dir)
+    return skill_join.keyword_pairs(left, right, 0.25).select("resume_id", "job_id", r6("keyword"))
+
+
+@register
+def keyword_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = views.matching_sides(spark, sf_dir)
+    return skill_join.keyword_pairs(left, right, 0.1, best=5).select("resume_id", "job_id", r6("keyword"), "rank")
+
+
 @register
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = views.matching_sides(spark, sf_dir)
@@ -300,6 +313,20 @@ def match_all_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("resume_id", "job_id", *[r6(c) for c in matching.SCORE_COLUMNS], "rank")
 
 
+@register
+def match_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the grid of tiles and pairs the bounds let the best matches skip."""
+    left, right = views.matching_sides(spark, sf_dir)
+    _, report = matching.best_matches(left, right, 5)
+    return _metric_row(spark, vars(report) | {"skipped_tiles": 1 - report.scored_tiles / max(report.tiles, 1), "skipped_pairs": 1 - report.scored_pairs / max(report.pairs, 1)})
+
+
+@register
+def all_scores_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = views.matching_sides(spark, sf_dir)
+    return matching.all_scores_histogram(left, right).select("bin", r6("low"), r6("high"), "n")
+
+
 # --- splits, models -----------------------------------------------------------------------
 
 

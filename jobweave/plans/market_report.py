@@ -80,8 +80,8 @@ def run_report(
     right = keep("posting_vectors", features.embed_texts(postings.select("job_id", "title", "cleaned_text", "skills"), "cleaned_text", embedder))
 
     ranked = keep("ranked_matches", matching.match_all_topk(left, right, 2 * top))
-    matches = keep("matches", ranked.where(F.col("rank") <= top))
-    keep("match_histogram", trends.score_histogram(matches, "score"))
+    keep("matches", ranked.where(F.col("rank") <= top))
+    keep("match_histogram", matching.all_scores_histogram(left, right))
 
     content = ranked.select(F.col("resume_id").alias("user_id"), F.col("job_id").alias("item_id"), "rank")
     peers = None if inputs.interactions is None else recommend.recommend_collaborative(inputs.interactions, n=2 * top)

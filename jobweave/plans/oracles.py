@@ -336,6 +336,12 @@ def _build() -> dict[str, str]:
     )
     # matching
     out["keyword_overlap"] = sql(f"SELECT resume_id, job_id, {_r6('keyword')} FROM pair_scores", "pair_scores")
+    out["keyword_pairs"] = sql(f"SELECT resume_id, job_id, {_r6('keyword')} FROM all_scores WHERE keyword >= CAST(0.25 AS DOUBLE)", "all_scores")
+    out["keyword_top5"] = sql(
+        f"SELECT resume_id, job_id, {_r6('keyword')}, CAST(row_number() OVER (PARTITION BY resume_id ORDER BY all_scores.keyword DESC, job_id) AS INTEGER) AS rank "
+        "FROM all_scores WHERE all_scores.keyword >= CAST(0.1 AS DOUBLE) QUALIFY rank <= 5",
+        "all_scores",
+    )
     out["cosine_pairs"] = sql(f"SELECT resume_id, job_id, {_r6('cosine')} FROM pair_scores", "pair_scores")
     out["combined_score"] = sql(f"SELECT resume_id, job_id, {_SCORES} FROM pair_scores", "pair_scores")
     out["match_one_resume"] = sql(
@@ -347,6 +353,12 @@ def _build() -> dict[str, str]:
     )
     best = lambda score, k: ranked.replace("{score}", score).replace("{k}", str(k))
     out["match_all_topk"] = sql(f"SELECT resume_id, job_id, {_SCORES}, rank FROM ({best(_SCORE, 5)})", "all_scores")
+    out["all_scores_histogram"] = sql("", "all_scores").strip() + (
+        f""", s AS (SELECT {_SCORE} AS x FROM all_scores), e AS (SELECT min(x) AS lo, (max(x) - min(x)) / 20 AS w FROM s),
+        h AS (SELECT CAST(least(floor((x - lo) / w), 19) AS INTEGER) AS bin, count(*) AS n FROM s CROSS JOIN e GROUP BY ALL),
+        g AS (SELECT CAST(unnest(range(20)) AS INTEGER) AS bin)
+        SELECT bin, round(lo + bin * w, 6) AS low, round(lo + (bin + 1) * w, 6) AS high, coalesce(n, 0) AS n FROM g CROSS JOIN e LEFT JOIN h USING (bin)"""
+    )
     # splits
     out["hash_split"] = sql(f"SELECT job_id, {bits('job_id')} % 100 < 80 AS is_train FROM postings", "postings")
     out["stratified_split"] = (

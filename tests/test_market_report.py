@@ -35,6 +35,7 @@ def test_report_on_sample_postings(spark, new_dir):
     titles = {r[0]: r[1] for r in rows}
     assert titles[best["r1"]] == "Python Developer" and titles[best["r2"]] == "Data Analyst"
     assert tables["matches"].count() == 10
+    assert sum(r["n"] for r in tables["match_histogram"].collect()) == 2 * 90
     assert tables["recommendations"].groupBy("user_id").count().collect() and tables["recommendations"].count() == 10
     shown = tables["salary_actual_vs_predicted"]
     assert 0 < shown.count() < 45 and shown.columns == ["job_id", "salary_midpoint", "predicted_salary"]

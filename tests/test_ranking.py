@@ -89,3 +89,20 @@ def test_weights_and_guards(spark):
         splits.check_training_rows(frame, "y", min_rows=10)
     with pytest.raises(ValueError):
         splits.drop_nulls(frame, ["missing"])
+
+
+@pytest.mark.parametrize("kind", ["string", "long", "double", "date"])
+def test_numbers_in_order(spark, kind):
+    value = {"string": "concat('job', lpad(cast(id * 7 % 500 as string), 6, '0'))", "long": "id * 7 % 500 - 250", "double": "(id * 7 % 500) / 3", "date": "date_add(date'2020-01-01', cast(id * 7 % 500 as int))"}[kind]
+    frame = spark.range(1500).selectExpr(f"cast({value} as {kind}) as v").union(spark.sql(f"select cast(null as {kind})"))
+    rows = ranking.numbered_in_order(frame, "v", "n").collect()
+    assert [r["v"] for r in sorted(rows, key=lambda r: r["n"])] == sorted({r["v"] for r in rows}) and sorted(r["n"] for r in rows) == list(range(500))
+    assert ranking.numbered_in_order(frame.limit(0), "v", "n").count() == 0
+
+
+def test_levels_of_one_prefix_spread_over_tasks(spark):
+    """A million levels that begin alike: the stretches between the splitters are of one size."""
+    levels = spark.range(0, 1_000_000, 1, 8).selectExpr("concat('job', lpad(cast(id as string), 9, '0')) as level")
+    cuts = ranking.order_cuts(levels, "level", 64)
+    sizes = [r["n"] for r in levels.groupBy(F.size(F.filter(cuts, lambda c: c < F.col("level"))).alias("s")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 60 and max(sizes) < 4 * sorted(sizes)[len(sizes) // 2]
