@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, ids, mix, slices, text_buffer, words_of, written
+from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, ids, mix, prefix_hashes, slices, text_buffer, words_of, written
 
 UNKNOWN = "und"
 WORDS = 3
@@ -29,14 +29,6 @@ PARTS = PIECE_END | np.isin(np.arange(256), [9, 32])
 RANK_PARTS = 64
 
 
-def prefix_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The Rabin-Karp hash modulo 2^64 of each run of values: a difference of prefix polynomials, moved to power 0 by the base's inverse."""
-    base = 0x9E3779B97F4A7C15
-    powers, back = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(values), b, np.uint64)]) for b in (base, pow(base, -1, 1 << 64)))
-    prefix = np.r_[np.uint64(0), np.cumsum(values * powers[:-1])]
-    return (prefix[ends] - prefix[starts]) * back[starts]
-
-
 def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The bytes of the runs, one after the other."""
     heads = np.cumsum(lengths) - lengths

@@ -3,15 +3,15 @@
 The windows of the benchmark (runs of ten words, or a whole shorter item) are the sets to be contained. Words are ordered by rarity
 in the documents. A window can only be contained where its rarest word stands, so that word alone is the necessary prefix
 (full containment leaves a prefix of one); the word's place in the window and the document's length bound where the window would
-begin and end; what passes is compared word by word.
+begin and end; what passes is joined with the windows on prefix and words.
 
-The benchmark is the stated query set: its windows are taken in blocks of ``block`` windows, each block is small enough to be
-sent to the tasks, and every block reads the documents once. So memory is bounded whatever the benchmark's size.
+The documents are read twice, whatever the size of the benchmark: once for the rarity of its words, once for the places of its prefixes. Which
+words, prefixes and windows there are is sent to the tasks as bitmaps of fixed size. A bitmap lets through all that is there and, when it is full, more
+than that; the join decides. Rows are told apart by id and text.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +19,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import filled, ids, keyed, real_id, text_buffer
+from jobweave.llm.common import filled, mix, prefix_hashes, row_keys, slices, text_buffer, word_hashes, words_of, written
 
 WINDOW = 10
+#: Windows that a task takes apart at a time.
 BLOCK = 50_000
+#: Bits of a bitmap: 8 MB.
+BITS = 1 << 26
 #: Bytes that are no part of a word read as blanks, A to Z as a to z.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+FOLDED = np.frombuffer(FOLD, np.uint8)
+NO_WORD = np.arange(256) == 32
 
 
 def folded_words(raw: bytes) -> list[bytes]:
@@ -51,71 +56,97 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> Data
     return source.mapInArrow(run, "window string, item_id string")
 
 
-def each_document(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
-    data, bounds = text_buffer(filled(batch.column("text")))
-    raw = data.tobytes()
-    for n, (name, a, b) in enumerate(zip(ids(batch.column("doc_id")).tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-        yield n, name, folded_words(raw[a:b])
+def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a run of texts: folded bytes, starts, ends and hashes of the words, and the number of words before each row."""
+    data, bounds = text_buffer(filled(column))
+    data = FOLDED[data]
+    starts, ends, before = words_of(data, bounds, NO_WORD)
+    return data, starts, ends, word_hashes(data, starts, ends), before
 
 
-def word_rarity(docs: DataFrame, wanted: frozenset[bytes]) -> dict[bytes, int]:
-    """How often each wanted word stands in the documents: counted in the tasks, one row per word and task."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bits of the 64-bit numbers of a column ``h``. Every task sends what it has of a bounded table."""
+    place = F.pmod("h", F.lit(BITS))
+    parts = hashes.groupBy(F.floor(place / F.lit(32768)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits"))
+    out = np.zeros((BITS // 32768, 4096), np.uint8)
+    for r in parts.collect():
+        out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.uint64(BITS - 1)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+def window_words(windows: DataFrame, block: int) -> DataFrame:
+    """``window, size, whole, place, h``: of each window the hash of all its words in order, and each word's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        known = shared.value.__contains__
         for batch in batches:
-            for _, _, words in each_document(batch):
-                counts.update(filter(known, words))
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                _, _, _, hashes, before = hashed_words(part.column("window"))
+                size = np.diff(before)
+                row = np.repeat(np.arange(part.num_rows), size)
+                whole = mix(prefix_hashes(hashes, before[:-1], before[1:])).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("window").take(pa.array(row)), pa.array(size[row].astype(np.int32)), pa.array(whole[row]), pa.array((np.arange(len(row)) - before[row]).astype(np.int32)), pa.array(hashes.view(np.int64))],
+                    ["window", "size", "whole", "place", "h"],
+                )
+
+    return windows.mapInArrow(run, "window string, size int, whole long, place int, h long")
+
+
+def word_rarity(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``h, n``: how often the words of the bitmap stand in the documents, counted in slices first."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
-    counted = docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    return {bytes(r["word"]): r["n"] for r in counted}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes = hashed_words(part.column("text"))[3]
+                found, n = np.unique(hashes[is_set(shared.value, hashes)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
 
+    return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
-def prefix_index(windows: list[tuple[int, bytes]], rarity: dict[bytes, int]) -> dict[bytes, list[tuple[int, tuple[bytes, ...], int]]]:
-    """For each prefix word the windows it stands for: the word's place in the window, the words, the window's number."""
-    index = defaultdict(list)
-    for number, window in windows:
-        words = tuple(window.split(b" "))
-        rarest = min(range(len(words)), key=lambda i: (rarity.get(words[i], 0), words[i], i))
-        if all(rarity.get(w, 0) for w in words):
-            index[words[rarest]].append((rarest, words, number))
-    return dict(index)
 
+def possible_places(docs: DataFrame, prefixes: np.ndarray, wholes: np.ndarray, shapes: list[tuple[int, int]]) -> DataFrame:
+    """``key, id, n_words, found`` per row: where a window may stand, as (begin, size, prefix, window).
 
-def block_hits(docs: DataFrame, index: dict) -> DataFrame:
-    """``doc_id, n_words, hits, windows`` per document: the places of hit words and the numbers of the windows found."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    ``shapes`` are the sizes of windows and the places of a prefix in them; a place that would begin before the text or end behind it is none.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((prefixes, wholes))
+    shape = np.array(shapes, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = shared.value
-        known = prefixes.__contains__
+        prefix_bits, whole_bits = shared.value
         for batch in batches:
-            names, totals, hits, numbers = [], [], [], []
-            for _, name, words in each_document(batch):
-                places: set[int] = set()
-                found: set[int] = set()
-                if any(map(known, words)):
-                    total = len(words)
-                    for at in np.flatnonzero(np.fromiter(map(known, words), bool, total)).tolist():
-                        for place, window, number in prefixes[words[at]]:
-                            begin, end = at - place, at - place + len(window)
-                            if begin >= 0 and end <= total and tuple(words[begin:end]) == window:
-                                places.update(range(begin, end))
-                                found.add(number)
-                names.append(name)
-                totals.append(len(words))
-                hits.append(sorted(places) or None)
-                numbers.append(sorted(found) or None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(totals, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "hits", "windows"],
-            )
-
-    return docs.mapInArrow(run, "doc_id long, n_words long, hits array<int>, windows array<long>")
+            for part in slices(batch, "text"):
+                data, starts, ends, hashes, before = hashed_words(part.column("text"))
+                at = np.flatnonzero(is_set(prefix_bits, hashes))
+                row = np.searchsorted(before, at, "right") - 1
+                at, row = np.repeat(at, len(shape)), np.repeat(row, len(shape))
+                size, place = np.tile(shape, (len(at) // max(len(shape), 1), 1)).T if len(at) else (at, at)
+                begin = at - place
+                fits = (begin >= before[row]) & (begin + size <= before[row + 1])
+                at, row, size, begin = at[fits], row[fits], size[fits], begin[fits]
+                near = is_set(whole_bits, mix(prefix_hashes(hashes, begin, begin + size)))
+                at, row, size, begin = at[near], row[near], size[near], begin[near]
+                raw = data.tobytes()
+                each = [
+                    {"begin": int(b - before[r]), "size": int(n), "prefix": int(p), "window": b" ".join([raw[starts[w] : ends[w]] for w in range(b, b + n)]).decode()}
+                    for b, n, r, p in zip(begin.tolist(), size.tolist(), row.tolist(), hashes[at].view(np.int64).tolist(), strict=True)
+                ]
+                own = np.searchsorted(row, np.arange(part.num_rows + 1)).tolist()
+                kind = pa.list_(pa.struct([("begin", pa.int32()), ("size", pa.int32()), ("prefix", pa.int64()), ("window", pa.string())]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("id"), pa.array(np.diff(before).astype(np.int64)), pa.array([each[a:b] for a, b in zip(own[:-1], own[1:], strict=True)], kind)],
+                    ["key", "id", "n_words", "found"],
+                )
+
+    return docs.select("key", "id", "text").mapInArrow(run, "key long, id long, n_words long, found array<struct<begin:int,size:int,prefix:long,window:string>>")
 
 
 def decontaminate(
@@ -125,37 +156,26 @@ def decontaminate(
     """``doc_id, n_words, n_hit, item_ids`` (sorted strings) for every document.
 
     Null and empty texts have no words; an item without words hits nothing. Items with a null id hit words
-    but are not listed. A null ``doc_id`` is an id of its own; rows that share an id are read as one document each, with the hits
-    and items of all of them. Empty tables give no rows, or rows without hits. Other columns are not read.
+    but are not listed. Every row comes out with hits and items of its own text, whatever ids are null, shared or repeated.
+    Empty tables give no rows, or rows without hits. Other columns are not read.
     """
-    from jobweave.llm.common import written
-
-    source = keyed(docs.withColumn("text", F.col(text).cast("string")), id_col, "text")
+    rows, _ = row_keys(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text")), "id", "text", "key")
     pairs = written(item_windows(items, item_id, item_text, window), "windows")
-    numbered = pairs.select("window").distinct().withColumn("number", F.xxhash64("window"))
-    blocks = max(1, -(-numbered.count() // block))
-    numbered = numbered.withColumn("block", F.pmod("number", F.lit(blocks)))
-    found = None
-    for n in range(blocks):
-        rows = [(r["number"], r["window"].encode()) for r in numbered.where(F.col("block") == n).select("number", "window").collect()]
-        rarity = word_rarity(source, frozenset(w for _, x in rows for w in x.split(b" ")))
-        hits = block_hits(source, prefix_index(rows, rarity))
-        found = hits if found is None else found.unionByName(hits.where("hits is not null"))
-    by_number = pairs.withColumn("number", F.xxhash64("window")).select("number", "item_id").distinct()
-    if blocks > 1:
-        found = written(found, "hits")
-    listed = (
-        found.where("windows is not null").select("doc_id", F.explode("windows").alias("number")).join(by_number, "number")
-        .groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    )
-    if blocks > 1:
-        places = found.where("hits is not null").select("doc_id", F.explode("hits").alias("at")).groupBy("doc_id").agg(F.countDistinct("at").alias("n_hit"))
-        found = found.groupBy("doc_id").agg(F.max("n_words").alias("n_words")).join(places, "doc_id", "left")
-    else:
-        found = found.withColumn("n_hit", F.size(F.coalesce("hits", F.array().cast("array<int>"))))
-    return found.join(listed, "doc_id", "left").select(
-        real_id().alias("doc_id"), "n_words", F.coalesce(F.col("n_hit"), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+    words = written(window_words(pairs.select("window").distinct(), block), "window-words")
+    rarity = word_rarity(rows, bitmap(words.select("h")))
+    ranked = words.join(rarity, "h").groupBy("window", "size", "whole").agg(F.count("*").alias("known"), F.min(F.struct("n", "h", "place")).alias("first"))
+    # a window with a word that no document holds stands nowhere
+    index = written(ranked.where("known = size").select("window", "size", "whole", F.col("first.h").alias("prefix"), F.col("first.place").alias("place")), "window-index")
+    shapes = [(r["size"], r["place"]) for r in index.select("size", "place").distinct().collect()]
+    prefixes, wholes = (bitmap(index.select(F.col(c).alias("h"))) for c in ("prefix", "whole"))
+    read = written(possible_places(rows, prefixes, wholes, shapes), "places")
+    places = read.select("key", F.explode("found").alias("f")).select("key", "f.*")
+    hits = places.join(index.select("prefix", "window"), ["prefix", "window"])
+    spans = F.flatten(F.collect_set(F.sequence("begin", F.col("begin") + F.col("size") - 1)))
+    hit = hits.groupBy("key").agg(F.size(F.array_distinct(spans)).cast("long").alias("n_hit"))
+    listed = hits.select("key", "window").distinct().join(pairs.distinct(), "window").groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    return read.join(hit, "key", "left").join(listed, "key", "left").select(
+        F.col("id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     )
 
 

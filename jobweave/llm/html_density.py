@@ -3,9 +3,10 @@
 Every node of a page's tree gets the characters, link characters, tags and link tags below it. Its composite density is characters per
 tag, weighed down by the share of links against that of the whole body. The densities of a node's block children are summed up (a block
 without such children counts with its own); the subtree with the greatest sum holds the article, and the least density on its path to the body is the threshold that
-any further subtree must reach to count as content. Parts that name themselves as no article (navigation, forms, adverts, notices,
-reader comments and the like) are taken out of the tree first; a name in a class or id alone does not take out what holds the main
-element, or most of the unlinked characters of the articles, or of the body if no article stands elsewhere.
+any further subtree must reach to count as content. Parts that are no article (navigation, forms, adverts, notices,
+reader comments and the like) are taken out of the tree first, by element, role, or what a class or id names. A name may also tell what a wrapper holds or
+shows (``content-sidebar-wrap``, ``has-sidebar``, ``comments-open``); a wrapper goes as well, unless it holds a heading, the main element or the
+page's first article. Articles within an article that has a heading of its own are comments on it.
 """
 
 from __future__ import annotations
@@ -41,10 +42,18 @@ P_HOLDERS = frozenset("td th li dd div article section main body table button bl
 #: Names of parts that are no article.
 NO_ARTICLE = frozenset("nav footer aside form script style noscript template iframe button select textarea svg canvas head object dialog menu search noembed noframes".split())
 NOISE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar "
-    "footer masthead cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
-    "disqus replies share sharing social related recommended toolbar pagination pager widget gdpr paywall skip".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent notice notices alert popup modal overlay newsletter "
+    "subscribe subscription signup login comment comments commentlist commentform disqus reply replies gdpr paywall".split()
 )
+#: Names of parts that a page is laid out in; within a wrapper's name they tell what else it holds.
+LAYOUT_WORDS = frozenset(
+    "banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead share sharing social related recommended toolbar pagination pager widget skip".split()
+)
+#: First words and last words of names that tell what a part has or shows, and last words of a wrapper's name.
+HAVING = frozenset("has have with without no show hide".split())
+STATES = frozenset("open opened closed enabled disabled on off".split())
+WRAPS = frozenset("wrap wrapper layout container grid columns row page inner".split())
+HEADINGS = frozenset("h1 h2".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 #: Elements that may stand in a head; any other closes it.
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript script style template noframes".split())
@@ -68,22 +77,33 @@ def is_noise(tag: str, attributes: str) -> bool:
     return False
 
 
-def is_named_noise(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether a class or id says so."""
-    if not attributes or "=" not in attributes:
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values)
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            words = {w.lower() for w in NAME_PART.findall(value)} | set(value.lower().split())
-            if words & NOISE_WORDS or ("header" in words and not in_article):
-                return True
-    return False
+def named_as(tag: str, attributes: str, in_article: bool) -> str:
+    """What a class or id says: ``part`` for a part that is no article, ``wrapper`` for what holds or shows one beside others, else nothing."""
+    if not attributes or "=" not in attributes or tag in ("body", "html", "main"):
+        return ""
+    found = ""
+    for key, *values in ATTRIBUTE.findall(attributes):
+        if key.lower() not in ("class", "id"):
+            continue
+        for name in "".join(values).split():
+            words = [w.lower() for w in NAME_PART.findall(name)]
+            layout = LAYOUT_WORDS if in_article else LAYOUT_WORDS | {"header"}
+            # one word written as several, as in sideBar
+            words = [name.lower()] if name.lower() in NOISE_WORDS | layout else words
+            noisy = [i for i, w in enumerate(words) if w in NOISE_WORDS or w in layout]
+            if not noisy or (tag == "article" and not NOISE_WORDS & set(words)):
+                continue
+            wraps = words[-1] in WRAPS and noisy[0] > 0 and not NOISE_WORDS & set(words)
+            if words[0] in HAVING or (len(words) > 1 and words[-1] in STATES) or wraps:
+                found = found or "wrapper"
+            else:
+                return "part"
+    return found
 
 
 def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[bool]]:
     """Tags, parents, ``(node, text)`` in page order and whether a node is out; node 0 is the root."""
-    tags, parents, out, named, texts = ["#root"], [-1], [False], [], []
+    tags, parents, out, wrappers, texts = ["#root"], [-1], [False], [], []
     stack, at, size = [0], 0, len(page)
     inside_article = 0
     while at < size:
@@ -128,10 +148,11 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[
         parent = stack[-1]
         tags.append(tag)
         parents.append(parent)
-        out.append(out[parent] or (tag == "header" and not inside_article) or is_noise(tag, attributes or ""))
+        says = named_as(tag, attributes or "", inside_article > 0)
+        out.append(out[parent] or (tag == "header" and not inside_article) or says == "part" or is_noise(tag, attributes or ""))
         node = len(tags) - 1
-        if not out[node] and is_named_noise(tag, attributes or "", inside_article > 0):
-            named.append(node)
+        if says == "wrapper" and not out[node]:
+            wrappers.append(node)
         if tag in BLOCKS or tag == "br":
             texts.append((node, "\0" if tag != "br" else " "))
         if tag in VOID or (attributes or "").rstrip().endswith("/") and tag not in BLOCKS:
@@ -142,37 +163,31 @@ def parse(page: str) -> tuple[list[str], list[int], list[tuple[int, str]], list[
             continue
         stack.append(node)
         inside_article += tag in ("article", "main")
-    return tags, parents, texts, without_named(tags, parents, texts, out, named) if named else out
+    return tags, parents, texts, without_others(tags, parents, out, wrappers)
 
 
-def without_named(tags: list[str], parents: list[int], texts: list[tuple[int, str]], out: list[bool], named: list[int]) -> list[bool]:
-    """``out`` and the subtrees of the nodes named as noise, but for those that hold the main element, most of the articles, or most of a body without another article."""
-    n = len(tags)
-    inside, elsewhere = [False] * n, False
-    for node in named:
-        inside[node] = True
-    linked, within = [False] * n, [False] * n
-    chars, article, mains = [0] * n, [0] * n, [tag == "main" and not out[node] for node, tag in enumerate(tags)]
-    for node in range(1, n):
-        linked[node] = tags[node] == "a" or linked[parents[node]]
-        within[node] = tags[node] in ("article", "main") or within[parents[node]]
-        inside[node] |= inside[parents[node]]
-    for node, text in texts:
-        if text != "\0" and not out[node] and not linked[node]:
-            size = len("".join(text.split()))
-            chars[node] += size
-            if within[node]:
-                article[node] += size
-                elsewhere |= size > 0 and not inside[node]
-    for node in range(n - 1, 0, -1):
-        up = parents[node]
-        chars[up] += chars[node]
-        article[up] += article[node]
-        mains[up] |= mains[node]
+def without_others(tags: list[str], parents: list[int], out: list[bool], wrappers: list[int]) -> list[bool]:
+    """``out``, the wrappers that hold no heading, main element or first article, and the articles within an article with a heading of its own."""
+    inner = [n for n, tag in enumerate(tags) if tag == "article" and not out[n]]
+    if not wrappers and len(inner) < 2:
+        return out
     out = list(out)
-    for node in named:
-        out[node] = not (mains[node] or (not elsewhere and 2 * chars[node] > chars[0]) or 2 * article[node] > article[0])
-    for node in range(1, n):
+    outer = [-1] * len(tags)  # the nearest article around each node
+    headed = set()
+    for node in range(1, len(tags)):
+        up = parents[node]
+        outer[node] = up if tags[up] == "article" else outer[up]
+        if tags[node] in HEADINGS and not out[node]:
+            headed.add(outer[node])
+    for node in inner:
+        out[node] = outer[node] > 0 and outer[node] in headed
+    first = next((n for n in inner if not out[n]), -1)
+    holds = [not gone and (n == first or tag == "main" or tag in HEADINGS) for n, (tag, gone) in enumerate(zip(tags, out, strict=True))]
+    for node in range(len(tags) - 1, 0, -1):
+        holds[parents[node]] |= holds[node]
+    for node in wrappers:
+        out[node] |= not holds[node]
+    for node in range(1, len(tags)):
         out[node] = out[node] or out[parents[node]]
     return out
 

@@ -208,6 +208,27 @@ def test_wrapper_of_the_article_is_kept(wrap):
     assert html_density.main_text(page).split("\n") == ["A title", "First paragraph of some length, with nothing else in it.", "Second paragraph that goes on for a while."]
 
 
+COMMENT = "<p>I have read all of this and I do not agree with a single word of it, as I have said before.</p>"
+ARTICLE_LINES = ["A title", "First paragraph of some length, with nothing else in it.", "Second paragraph that goes on for a while."]
+
+
+@pytest.mark.parametrize("times", [1, 3, 10])
+@pytest.mark.parametrize("page", [
+    "<div id=content>{article}</div><div class='comments'>{comments}</div>",
+    "<article>{article}<section class='comments'>{comments}</section></article>",
+    "<article>{article}</article><section class='comments'><article>{comments}</article><article>{comments}</article></section>",
+    "<article>{article}</article><article class='comment'>{comments}</article><article class='comment even'>{comments}</article>",
+    "<article>{article}<article>{comments}</article><article>{comments}</article></article>",
+    "<div class='comments-open has-sidebar'><div id=content>{article}</div><ol class='commentlist'><li>{comments}</ol></div>",
+    "<main>{article}<div id='post-comments'>{comments}</div><div class='comments-area'>{comments}</div><div class='comment-content'>{comments}</div></main>",
+    "<div id=content>{article}</div><div class='cookie-notice-open'>{comments}</div><div class='advert-wrap'>{comments}</div><div class='no-comments'>{comments}</div>",
+])
+def test_comments_never_come_in_place_of_the_article(page, times):
+    size = len(ARTICLE) // len(COMMENT) * times + 1
+    body = page.format(article=ARTICLE, comments=COMMENT * size)
+    assert html_density.main_text(f"<html><head><title>T</title></head><body>{body}</body></html>").split("\n") == ARTICLE_LINES
+
+
 def test_pages_table(spark):
     rows = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<div>" * 3000 + "deep", "z")], "page_id long, url string, html string, text string")
     got = html_density.extract_pages(rows).collect()
@@ -281,6 +302,30 @@ def test_contamination(spark, docs, texts, odd_docs, no_docs):
     assert decontamination.decontaminate(docs, table.limit(0)).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 50_000])
+def test_contamination_of_texts_that_share_an_id(spark, block):
+    """Every row keeps the hits and items of its own text, in the same way at every size of the benchmark."""
+    one, two, other = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "un deux trois quatre cinq", "nothing of the kind in here")
+    rows = [(1, f"so {one} end"), (1, f"{two} et {two}"), (1, other), (None, f"{one} {two}"), (None, None), (2, one), (2, one), (3, f"{one} lambda")]
+    items = [(10, one), (20, two), (30, f"{one} lambda mu"), (None, "of the kind")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = decontamination.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), block=block).collect()
+    got = sorted([(r["doc_id"], r["n_words"], r["n_hit"], list(r["item_ids"])) for r in found], key=str)
+    want = brute.contamination(list(enumerate(t for _, t in rows)), items)
+    plain = [(rows[n][0], w[0], w[1]) for n, w in want.items()]
+    assert sorted([r[:3] for r in got], key=str) == sorted(plain, key=str)
+    assert got == sorted([(1, 12, 10, ["10", "30"]), (1, 11, 10, ["20"]), (1, 6, 3, []), (None, 15, 15, ["10", "20", "30"]), (None, 0, 0, []), (2, 10, 10, ["10", "30"]), (2, 10, 10, ["10", "30"]), (3, 11, 11, ["10", "30"])], key=str)
+
+
+def test_contamination_with_full_bitmaps(docs, texts, spark, monkeypatch):
+    """Where the bitmaps let everything through, the join alone decides."""
+    items = [(1, texts[8][1]), (2, texts[9][1]), (3, "one")]
+    monkeypatch.setattr(decontamination, "BITS", 1 << 15)
+    monkeypatch.setattr(decontamination, "bitmap", lambda hashes: decontamination.np.full(4096, 255, decontamination.np.uint8))
+    got = decontamination.contamination_report(decontamination.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")))
+    assert {i: r[:4] for i, r in by_id(got).items()} == brute.contamination(texts, items)
+
+
 # 9 Jaccard join
 
 
