@@ -1,10 +1,10 @@
 """Phrase collocations of a corpus, per language, by Rabin-Karp fingerprints.
 
 Texts are cut into pieces and words. Prefix polynomials over bytes give every word a hash, prefix polynomials over word hashes give
-every run of one to three words a fingerprint. Slices count their fingerprints, compare all occurrences of one with its first, and send a
-count and a pointer (document, byte offset, number of words) for each. Fingerprints that are frequent over all slices send their pointers back
-to the documents, where the words are read, and only there do phrases become text. Counts are summed by the text itself, so two phrases
-that share a fingerprint stay apart.
+every run of one to three words a fingerprint. Documents are dealt into slices by a hash. A slice counts its fingerprints, compares all occurrences
+of one with the first, and sends for each a count and a pointer (word and length), packed by ranges of fingerprints. Fingerprints that are frequent over all
+slices send their pointers back to the slices, where the words are read, and only there do phrases become text. Counts are summed by the text itself, so
+two phrases that share a fingerprint stay apart; 40 bits of it within a range are enough.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, ids, mix, prefix_hashes, slices, text_buffer, words_of, written
+from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, mix, partitions, prefix_hashes, slices, text_buffer, words_of, written
 
 UNKNOWN = "und"
 WORDS = 3
@@ -74,90 +74,183 @@ def language_codes(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return number, np.array(codes, np.uint64)[number] if len(number) else np.zeros(0, np.uint64)
 
 
-def stretches(batch: pa.RecordBatch, most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
-    """Rows, their bytes and bounds, in runs of about ``most`` bytes. A longer text comes alone, cut behind a piece's end, with the place of the cut.
+def stretches(table: pa.Table, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row, bytes and bounds, in runs of about ``most`` bytes. A longer text comes alone, cut behind a piece's end.
 
     No phrase crosses the end of a piece, so none is lost. A text without such an end within ``most`` bytes goes on to its next one.
     """
-    for part in slices(batch, "text", most):
-        data, bounds = text_buffer(filled(part.column("text")))
-        if part.num_rows > 1 or len(data) <= most:
-            yield part, data, bounds, 0
-            continue
-        cuts = np.flatnonzero(PIECE_END[data]) + 1
-        at = 0
-        while at < len(data):
-            place = int(np.searchsorted(cuts, at + most, "right")) - 1
-            if place < 0 or cuts[place] <= at:
-                place += 1
-            to = int(cuts[place]) if at + most < len(data) and place < len(cuts) else len(data)
-            yield part, data[at:to], np.array([0, to - at]), at
-            at = to
-
-
-def _counted(words: Piecewise, language: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    row = 0
+    for batch in table.select(["text"]).combine_chunks().to_batches():
+        for part in slices(batch, "text", most):
+            data, bounds = text_buffer(filled(part.column("text")))
+            to = row + part.num_rows
+            if part.num_rows > 1 or len(data) <= most:
+                yield row, to, data, bounds
+            else:
+                cuts = np.flatnonzero(PIECE_END[data]) + 1
+                at = 0
+                while at < len(data):
+                    place = int(np.searchsorted(cuts, at + most, "right")) - 1
+                    if place < 0 or cuts[place] <= at:
+                        place += 1
+                    end = int(cuts[place]) if at + most < len(data) and place < len(cuts) else len(data)
+                    yield row, to, data[at:end], np.array([0, end - at])
+                    at = end
+            row = to
+
+
+def in_order(table: pa.Table) -> pa.Table:
+    """The rows of a slice in one order, whatever order they came in, so that a pointer means the same whenever a slice is read."""
+    return table.sort_by([("doc_id", "ascending"), ("digest", "ascending")])
+
+
+def _counted(words: Piecewise, language: np.ndarray, code: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each distinct run of words per language: fingerprint, first place, number of words, and occurrences, all compared with the first."""
     n = np.repeat(np.arange(1, WORDS + 1), [int((words.room >= k).sum()) for k in range(1, WORDS + 1)])
     at = np.concatenate([np.flatnonzero(words.room >= k) for k in range(1, WORDS + 1)])
-    prints = words.fingerprints(at, n, code[words.row[at]])
-    _, first, group, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+    row = words.row[at]
+    prints = words.fingerprints(at, n, code[row])
+    shown, first, group = np.unique(prints, return_index=True, return_inverse=True)
     number = np.r_[numbered_words(words.data, words.starts, words.ends, words.hashes), np.full(WORDS, -1)]
-    exact = np.stack([language[words.row[at]], n, *[np.where(n > k, number[at + k], -1) for k in range(WORDS)]], axis=1)
-    if not np.array_equal(exact, exact[first[group]]):
-        _, first, count = np.unique(exact, axis=0, return_index=True, return_counts=True)
-    return prints[first], at[first], n[first], count
-
-
-def count_pointers(keyed: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
-    """``print, count, doc_id, digest, at, n``: for each slice its distinct runs of words with a pointer to one occurrence; ``n`` 0 counts all words of a language."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds, cut in stretches(batch, most):
-                words = Piecewise(data, bounds)
-                if not len(words.starts):
-                    continue
-                language, code = language_codes(part.column("lang"))
-                prints, at, n, count = _counted(words, language, code)
-                row, offset = words.row[at], words.starts[at] - bounds[words.row[at]] + cut
-                kinds, where = np.unique(language, return_index=True)
-                total = np.bincount(language[words.row], minlength=len(kinds))
-                row, offset, n = np.r_[row, where], np.r_[offset, np.zeros(len(kinds), np.int64)], np.r_[n, np.zeros(len(kinds), np.int64)]
-                doc, digest = ids(part.column("doc_id"))[row], part.column("digest").to_numpy(zero_copy_only=False)[row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.r_[prints, mix(code[where]).view(np.int64)]), pa.array(np.r_[count, total].astype(np.int64)), pa.array(doc), pa.array(digest), pa.array(offset.astype(np.int64)), pa.array(n.astype(np.int32))],
-                    ["print", "count", "doc_id", "digest", "at", "n"],
-                )
-
-    return keyed.mapInArrow(run, "print long, count long, doc_id long, digest long, at long, n int")
-
-
-def read_pointers(pointed: DataFrame, most: int = SLICE_BYTES) -> DataFrame:
-    """``lang, phrase, n, count`` of each pointer of each document (columns ``lang, text`` and the array ``pointers``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds, cut in stretches(batch, most):
-                words = Piecewise(data, bounds)
-                lists = part.column("pointers")
-                rows = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-                each = pc.list_flatten(lists)
-                prints, count, at, n = (pc.struct_field(each, k).to_numpy(zero_copy_only=False) for k in range(4))
-                here = (at >= cut) & (at < cut + len(data)) & (n > 0)
-                total = (n == 0) & (cut == 0)
-                place = np.searchsorted(words.starts, (at - cut + bounds[rows])[here])
-                _, code = language_codes(part.column("lang"))
-                n_here = n[here].astype(np.int64)
-                if not np.array_equal(words.fingerprints(place, n_here, code[rows[here]]), prints[here]):
-                    raise RuntimeError("a pointer does not lead to its phrase: the documents have changed between two reads")
-                phrases = _phrases(words, place, n_here)
-                lang = part.column("lang").take(pa.array(np.r_[rows[here], rows[total]]))
-                yield pa.RecordBatch.from_arrays(
-                    [lang, pa.concat_arrays([phrases, pa.array([""] * int(total.sum()), pa.string())]), pa.array(np.r_[n[here], n[total]].astype(np.int32)), pa.array(np.r_[count[here], count[total]])],
-                    ["lang", "phrase", "n", "count"],
-                )
-
-    return pointed.mapInArrow(run, "lang string, phrase string, n int, count long")
+
+    def exact() -> Iterator[np.ndarray]:
+        yield language[row]
+        yield n
+        for k in range(WORDS):
+            yield np.where(n > k, number[at + k], -1)
+
+    model = first[group]
+    if not all(np.array_equal(c, c[model]) for c in exact()):
+        _, first, group = np.unique(np.stack(list(exact()), axis=1), axis=0, return_index=True, return_inverse=True)
+        shown = prints[first]
+    return shown, at[first], n[first], np.bincount(group.ravel(), times[row], len(first)).astype(np.int64)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte, lowest bytes first, compressed: small numbers take little room."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def count_pointers(docs: DataFrame, ranges: int, most: int) -> DataFrame:
+    """``part, slice, prints, counts, pointers``: the distinct runs of words of each slice, in ranges of their fingerprints.
+
+    A pointer is the number of a word within the slice and how many words follow from there.
+    """
+    kinds = {"part": pa.int32(), "slice": pa.int32(), "prints": pa.binary(), "counts": pa.binary(), "pointers": pa.binary()}
+
+    def count(table: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        number, passed = table.column("slice")[0].as_py(), 0
+        table = in_order(table)
+        times, names = table.column("times").to_numpy(), table.column("lang").combine_chunks()
+        for a, b, data, bounds in stretches(table, most):
+            words = Piecewise(data, bounds)
+            prints, at, n, counts = _counted(words, *language_codes(names[a:b]), times[a:b])
+            prints, pointers = prints.view(np.uint64), (at + passed) * 4 + n
+            passed += len(words.starts)
+            place = ((prints >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+            short = prints & np.uint64((1 << 40) - 1)
+            order = np.lexsort((short, place))
+            place, short, counts, pointers = place[order], short[order], counts[order], pointers[order]
+            cuts = np.searchsorted(place, np.arange(ranges + 1)).tolist()
+            found += [
+                (part, number, packed(np.diff(short[x:y], prepend=np.uint64(0))), packed(counts[x:y]), packed(pointers[x:y]))
+                for part, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y
+            ]
+        return pa.table({k: pa.array([f[i] for f in found], t) for i, (k, t) in enumerate(kinds.items())})
+
+    return docs.groupBy("slice").applyInArrow(count, "part int, slice int, prints binary, counts binary, pointers binary")
+
+
+def frequent_pointers(counted: DataFrame, least: int) -> DataFrame:
+    """The pointers and counts whose fingerprint occurs ``least`` times or more over all slices."""
+
+    def keep(table: pa.Table) -> pa.Table:
+        prints = [np.cumsum(unpacked(b)) for b in table.column("prints").to_pylist()]
+        counts = [unpacked(b) for b in table.column("counts").to_pylist()]
+        ends = np.cumsum([len(p) for p in prints])
+        _, group = np.unique(np.concatenate(prints), return_inverse=True)
+        often = (np.bincount(group.ravel(), np.concatenate(counts)) >= least)[group.ravel()]
+        chosen = [often[e - len(p) : e] for e, p in zip(ends.tolist(), prints, strict=True)]
+        some = [i for i, c in enumerate(chosen) if c.any()]
+        blobs = table.column("pointers").to_pylist()
+        return pa.table({
+            "part": table.column("part").take(pa.array(some, pa.int64())), "slice": table.column("slice").take(pa.array(some, pa.int64())),
+            "counts": pa.array([packed(counts[i][chosen[i]]) for i in some], pa.binary()), "pointers": pa.array([packed(unpacked(blobs[i])[chosen[i]]) for i in some], pa.binary()),
+        })
+
+    return counted.groupBy("part").applyInArrow(keep, "part int, slice int, counts binary, pointers binary")
+
+
+def read_pointers(docs: DataFrame, pointers: DataFrame, ranges: int, most: int) -> DataFrame:
+    """``part, lang, phrases, counts``: what the pointers of each slice lead to, sorted and packed; all words of a language count under the empty phrase."""
+    import zstandard
+
+    kinds = {"part": pa.int32(), "lang": pa.string(), "phrases": pa.binary(), "counts": pa.binary()}
+
+    def read(table: pa.Table, wanted: pa.Table) -> pa.Table:
+        table = in_order(table)
+        times, names = table.column("times").to_numpy(), table.column("lang").combine_chunks()
+        each = [unpacked(b).astype(np.int64) for b in wanted.column("pointers").to_pylist()]
+        none = [np.zeros(0, np.int64)]
+        pointer = np.concatenate([*each, *none])
+        part = np.repeat(np.array(wanted.column("part").to_pylist(), np.int64), [len(x) for x in each])
+        count = np.concatenate([*(unpacked(b).astype(np.int64) for b in wanted.column("counts").to_pylist()), *none])
+        order = np.argsort(pointer, kind="stable")
+        pointer, part, count = pointer[order], part[order], count[order]
+        passed, found = 0, []
+        for a, b, data, bounds in stretches(table, most):
+            words = Piecewise(data, bounds)
+            x, y = np.searchsorted(pointer, [passed * 4, (passed + len(words.starts)) * 4]).tolist()
+            at = pointer[x:y] // 4 - passed
+            passed += len(words.starts)
+            language, code = language_codes(names[a:b])
+            found.append(pa.table({"part": part[x:y], "lang": names[a:b].take(pa.array(words.row[at])), "phrase": _phrases(words, at, pointer[x:y] % 4), "count": count[x:y]}))
+            kind, where = np.unique(language, return_index=True)
+            total = np.bincount(language[words.row], times[a:b][words.row], len(kind)).astype(np.int64)
+            found.append(pa.table({"part": (code[where] % np.uint64(ranges)).astype(np.int64), "lang": names[a:b].take(pa.array(where)), "phrase": pa.array([""] * len(where), pa.string()), "count": total}))
+        if not found:
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+        rows = pa.concat_tables(found).sort_by([("part", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        key = rows.column("part").to_numpy() * rows.num_rows + pc.rank(rows.column("lang").combine_chunks(), tiebreaker="dense").to_numpy()
+        cuts = [*np.flatnonzero(np.r_[True, key[1:] != key[:-1]]).tolist(), rows.num_rows] if rows.num_rows else [0]
+        out, squeeze = [], zstandard.ZstdCompressor(level=3)
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            # no phrase holds a line's end
+            text = "\n".join(rows.column("phrase")[x:y].to_pylist()).encode()
+            out.append((rows.column("part")[x].as_py(), rows.column("lang")[x].as_py(), squeeze.compress(text), packed(rows.column("count")[x:y].to_numpy())))
+        return pa.table({k: pa.array([r[i] for r in out], t) for i, (k, t) in enumerate(kinds.items())})
+
+    return docs.groupBy("slice").cogroup(pointers.groupBy("slice")).applyInArrow(read, "part int, lang string, phrases binary, counts binary")
+
+
+def sum_phrases(found: DataFrame, least: int) -> DataFrame:
+    """``lang, phrase, n, a`` of the phrases whose counts come to ``least`` or more, and of the empty phrase of each language."""
+    import zstandard
+
+    def add(table: pa.Table) -> pa.Table:
+        languages, phrases, counts = [], [], []
+        for lang, blob, count in zip(*(table.column(c).to_pylist() for c in ("lang", "phrases", "counts")), strict=True):
+            own = zstandard.ZstdDecompressor().decompress(blob).decode().split("\n")
+            phrases.append(pa.array(own, pa.string()))
+            languages.append(pa.array([lang] * len(own), pa.string()))
+            counts.append(pa.array(unpacked(count).astype(np.int64)))
+        rows = pa.table({"lang": pa.concat_arrays(languages), "phrase": pa.concat_arrays(phrases), "a": pa.concat_arrays(counts)})
+        rows = rows.group_by(["lang", "phrase"]).aggregate([("a", "sum")])
+        rows = rows.filter(pc.or_(pc.greater_equal(rows.column("a_sum"), least), pc.equal(rows.column("phrase"), "")))
+        n = pc.if_else(pc.equal(rows.column("phrase"), ""), 0, pc.add(pc.count_substring(rows.column("phrase"), " "), 1))
+        return pa.table({"lang": rows.column("lang"), "phrase": rows.column("phrase"), "n": pc.cast(n, pa.int32()), "a": rows.column("a_sum")})
+
+    return found.groupBy("part").applyInArrow(add, "lang string, phrase string, n int, a long")
 
 
 def _phrases(words: Piecewise, place: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -181,20 +274,23 @@ def _phrases(words: Piecewise, place: np.ndarray, n: np.ndarray) -> pa.Array:
 def phrase_counts(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str = "lang", least: int = 10, most: int = SLICE_BYTES) -> DataFrame:
     """``lang, phrase, n, a``: every run of one to three words that occurs ``least`` times or more in a language, and under ``n`` 0 the language's number of words.
 
-    Rows may repeat and ids may be null or shared: a pointer names an id with the digest of text and language. Null languages count as ``und``,
-    null texts have no words; other columns are not read.
+    Rows may repeat and ids may be null or shared: rows that are equal in id, language and text are counted as one, so often as they occur. Null languages
+    count as ``und``, null texts have no words; other columns are not read.
     """
     body, name = F.col(text).cast("string"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN))
     keyed = docs.where(body.isNotNull()).select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(name, body).alias("digest"), name.alias("lang"), body.alias("text")
     )
-    by_print = Window.partitionBy("print")
-    frequent = count_pointers(keyed, most).withColumn("a", F.sum("count").over(by_print)).where((F.col("a") >= least) | (F.col("n") == 0))
-    pointers = frequent.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("print", "count", "at", "n")).alias("pointers"))
-    repeated = keyed.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
-    sources = keyed if repeated else keyed.dropDuplicates(["doc_id", "digest"])
-    found = read_pointers(pointers.join(sources, ["doc_id", "digest"]).select("lang", "text", "pointers"), most)
-    return found.groupBy("lang", "phrase", "n").agg(F.sum("count").alias("a")).where((F.col("a") >= least) | (F.col("n") == 0))
+    each = keyed.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    repeats, size = each.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    if repeats > 1:
+        single = keyed.groupBy("doc_id", "digest", "lang", "text").agg(F.count(F.lit(1)).alias("times"))
+    else:
+        single = keyed.withColumn("times", F.lit(1).cast("long"))
+    ranges = max(partitions(docs.sparkSession), size // (16 << 20) + 1)
+    sliced = single.withColumn("slice", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(size // most + 1)).cast("int"))
+    pointers = frequent_pointers(count_pointers(sliced, ranges, most), least)
+    return sum_phrases(read_pointers(sliced, pointers, ranges, most), least)
 
 
 def association(a: str, left: str, right: str) -> Column:
