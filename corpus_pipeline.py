@@ -1,7 +1,7 @@
 """A training-corpus pipeline over documents: five stages, each on all that the one before kept.
 
 1. Language identification: documents without a language (null texts and texts without letters) go.
-2. N-gram Jaccard join: of documents linked by near-equal shingle sets, the one with the least id stays.
+2. N-gram Jaccard join: of documents linked by 5-word shingle sets with a similarity of 0.8 or more, the one with the least id stays.
 3. Suffix-array dedup: characters all of whose bytes repeat an earlier 100-byte string are cut out; documents with nothing left go.
 4. Benchmark decontamination: documents that hold a window of a benchmark item go.
 5. BPE: the ids of what is left, and the text they decode to.
@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobweave.llm import decontamination, jaccard_join, ppm_language, suffix_dedup, word_bpe
@@ -17,8 +17,9 @@ from jobweave.llm.common import NULL_ID, row_keys, written
 from jobweave.llm.queries import tokenizer
 
 
-
 KEY = "_pipeline_key"
+#: When two documents are near copies.
+NEAR_COPIES = jaccard_join.Rule(words=5, num=80, den=100)
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
@@ -46,11 +47,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies; of rows that repeat an id and its text, the first by the other columns."""
     keyed, shared = _keyed(docs)
-    groups = jaccard_join.jaccard_components(keyed, id_col=KEY)
+    groups = jaccard_join.jaccard_components(keyed, id_col=KEY, rule=NEAR_COPIES)
     kept = _kept(keyed, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
     if shared:
-        place = F.row_number().over(Window.partitionBy(KEY).orderBy(*docs.columns))
-        kept = kept.withColumn("_pipeline_place", place).where("_pipeline_place = 1")
+        # the least row of a key, combined before the shuffle, however often it is repeated
+        kept = kept.groupBy(KEY).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return kept.select(*docs.columns)
 
 
@@ -58,7 +59,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated strings; ``n_chars`` follows the text."""
     keyed, shared = _keyed(docs)
     cut = suffix_dedup.suffix_dedup(keyed, id_col=KEY, whole_characters=True, one_text=True)
-    left = _keys(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.trim("text") != "")
+    left = _keys(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.col("text").rlike(r"\S"))
     rest = keyed.drop("text").join(left.dropDuplicates([KEY]) if shared else left, KEY)
     return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -1,7 +1,7 @@
 """Jaccard self-join of shingle sets on group counts: a routed R-tree of count vectors.
 
 The hashed shingles of a document are dealt into groups; the group counts are a point. Two sets with sizes a and b
-overlap in at most the sum of their smaller group counts, so a Jaccard similarity of ``NUM / DEN`` bounds how far their points
+overlap in at most the sum of their smaller group counts, so a Jaccard similarity of ``num / den`` bounds how far their points
 may lie apart (in the sum of coordinate differences). The groups are cut into slabs, one more than that distance: points of a
 pair agree in one slab altogether. That slab routes a point to its partition of the index.
 
@@ -17,6 +17,7 @@ pair agree in one slab altogether. That slab routes a point to its partition of
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,6 @@ from pyspark.sql import functions as F
 from jobweave.llm.common import LOWER, NULL_ID, filled, ids, keyed, mix, pack, partitions, real_id, slices, text_buffer, unpack, word_hashes, words_of, written
 from jobweave.llm.components import connected_components
 
-WORDS = 3
-NUM, DEN = 90, 100
 POINT = 64
 LIGHT = 2
 #: Shingles that one tile of a large component holds at most.
@@ -35,34 +34,48 @@ TILE = 2_000_000
 NODE = 32
 
 
-def size_classes() -> np.ndarray:
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the similarity ``num / den`` from which two sets are linked."""
+
+    words: int = 3
+    num: int = 90
+    den: int = 100
+
+
+RULE = Rule()
+
+
+def size_classes(rule: Rule = RULE) -> np.ndarray:
     """Lower bounds of the size classes: below the first only equal sets are similar enough."""
-    bounds = [NUM // (DEN - NUM)]
+    bounds = [rule.num // (rule.den - rule.num)]
     while bounds[-1] < 1 << 40:
         bounds.append(max(bounds[-1] + 1, int(bounds[-1] * 1.3)))
     return np.array(bounds, np.int64)
 
 
-def slab_counts(classes: np.ndarray) -> np.ndarray:
+def slab_counts(classes: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Slabs of each class: one more than the largest distance of a pair whose smaller set is in the class."""
-    return (classes[1:] - 1) * (DEN - NUM) // NUM + 1
+    return (classes[1:] - 1) * (rule.den - rule.num) // rule.num + 1
 
 
-def document_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def document_sets(part: pa.RecordBatch, words_each: int = RULE.words) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct shingle hashes of all rows in one array, and the number of each row."""
     data, bounds = text_buffer(filled(part.column("text")))
     data = LOWER[data]
     starts, ends, words = words_of(data, bounds)
     hashed = word_hashes(data, starts, ends)
     odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+    odd += (mix(np.arange(3, words_each, dtype=np.uint64) + odd[0]) | np.uint64(1)).tolist()
+    odd = [np.uint64(x) for x in odd]
     whole = np.zeros(len(hashed), np.uint64)
-    for n in range(WORDS):
+    for n in range(min(words_each, len(hashed))):
         whole[: len(hashed) - n] += hashed[n:] * odd[n]
     whole = mix(whole)
     sets = []
     for a, b in zip(words[:-1].tolist(), words[1:].tolist(), strict=True):
-        if b - a >= WORDS:
-            sets.append(np.unique(whole[a : b - WORDS + 1]))
+        if b - a >= words_each:
+            sets.append(np.unique(whole[a : b - words_each + 1]))
         elif b > a:
             sets.append(mix((hashed[a:b] * np.array(odd[: b - a])).sum(keepdims=True) + np.full(1, b - a, np.uint64)))
         else:
@@ -131,12 +144,14 @@ def forest(n: int) -> tuple[Callable[[int], int], Callable[[int, int], bool]]:
     return find, unite
 
 
-def enough(overlap: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """Whether an overlap allows the similarity, for the sum of both sizes: DEN * o >= NUM * (both - o)."""
-    return (DEN + NUM) * overlap.astype(np.int64) >= NUM * both
+def enough(overlap: np.ndarray, both: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """Whether an overlap allows the similarity, for the sum of both sizes: den * o >= num * (both - o)."""
+    return (rule.den + rule.num) * overlap.astype(np.int64) >= rule.num * both
 
 
-def rtree_links(points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, int], bool] | None, cut: int | None = None) -> list[tuple[int, int]]:
+def rtree_links(
+    points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, int], bool] | None, cut: int | None = None, rule: Rule = RULE
+) -> list[tuple[int, int]]:
     """Links that join parts of the set: a packed R-tree of count vectors joined with itself.
 
     Leaves hold ``NODE`` points sorted by size and counts; a node keeps the largest count of each group and its least size.
@@ -170,8 +185,8 @@ def rtree_links(points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, in
         overlap = np.empty((a1 - a0, b1 - b0), np.int64)
         for x in range(a0, a1):
             np.minimum(top[x], top[b0:b1]).sum(axis=1, out=overlap[x - a0])
-        fits = enough(overlap, low[a0:a1, None] + low[None, b0:b1])
-        fits &= (DEN * high[None, b0:b1] >= NUM * low[a0:a1, None]) & (DEN * high[a0:a1, None] >= NUM * low[None, b0:b1])
+        fits = enough(overlap, low[a0:a1, None] + low[None, b0:b1], rule)
+        fits &= (rule.den * high[None, b0:b1] >= rule.num * low[a0:a1, None]) & (rule.den * high[a0:a1, None] >= rule.num * low[None, b0:b1])
         for x, y in zip(*(v.tolist() for v in np.nonzero(fits)), strict=True):
             x, y = x + a0, y + b0
             if x > y or (x == y and level == 1):
@@ -184,28 +199,28 @@ def rtree_links(points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, in
     return links
 
 
-def candidate_edges(source: DataFrame, buckets: int) -> DataFrame:
+def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
     """Edges ``a, b`` that connect all documents which agree in a slab."""
     names = ["mark", "doc", "light_mark", "light_doc", "light_size", "light_point", "known_a", "known_b"]
     kinds = ["u8", "i8", "u8", "i8", "i8", "u1", "i8", "i8"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = size_classes()
-        slabs = slab_counts(classes)
+        classes = size_classes(rule)
+        slabs = slab_counts(classes, rule)
         for batch in batches:
             for part in slices(batch, "text"):
                 yield from deal_slice(part, classes, slabs)
 
     def deal_slice(part: pa.RecordBatch, classes: np.ndarray, slabs: np.ndarray) -> Iterator[pa.RecordBatch]:
         doc = ids(part.column("doc_id"))
-        tokens, sizes = document_sets(part)
+        tokens, sizes = document_sets(part, rule.words)
         low, high = digests(tokens, sizes)
         first = np.unique(np.stack([low, high, sizes.astype(np.uint64)]), axis=1, return_index=True)[1]
         rows = np.sort(first[sizes[first] >= classes[0]])
         if not len(rows):
             return
         own = np.searchsorted(classes, sizes[rows], "right") - 1
-        smaller = -(-sizes[rows] * NUM // DEN)
+        smaller = -(-sizes[rows] * rule.num // rule.den)
         other = np.searchsorted(classes, smaller, "right") - 1
         more = (other < own) & (other >= 0)
         row, mark, shingles = slab_records(tokens, sizes, np.r_[rows, rows[more]], classes, slabs, np.r_[own, other[more]])
@@ -253,7 +268,7 @@ def candidate_edges(source: DataFrame, buckets: int) -> DataFrame:
                 rows = order[x:y]
                 points = light_point[rows].astype(np.int32)
                 points[points == 255] = 1 << 24
-                found = rtree_links(points, light_size[rows], None)
+                found = rtree_links(points, light_size[rows], None, rule=rule)
                 a.append(light_doc[rows[[i for i, _ in found]]] if found else known_a[:0])
                 b.append(light_doc[rows[[j for _, j in found]]] if found else known_b[:0])
         a, b = distinct_pairs(np.concatenate(a), np.concatenate(b))
@@ -276,13 +291,13 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return pairs[0], pairs[1]
 
 
-def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int) -> DataFrame:
+def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
     """Links ``a, b`` between the candidates (``doc_id, part, tile, tiles``) that join all linked documents."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens, sizes = document_sets(part)
+                tokens, sizes = document_sets(part, rule.words)
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("part"), part.column("tile"), part.column("tiles"),
@@ -309,9 +324,9 @@ def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int) -> Da
 
             def same(i: int, j: int, own: list = own) -> bool:
                 shared = len(np.intersect1d(own[i], own[j], assume_unique=True))
-                return DEN * shared >= NUM * (len(own[i]) + len(own[j]) - shared)
+                return rule.den * shared >= rule.num * (len(own[i]) + len(own[j]) - shared)
 
-            for i, j in rtree_links(points, sizes, same, None if left == right else sum(1 for r in rows if tile[r] == left)):
+            for i, j in rtree_links(points, sizes, same, None if left == right else sum(1 for r in rows if tile[r] == left), rule):
                 a.append(int(doc[rows[i]]))
                 b.append(int(doc[rows[j]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -325,8 +340,8 @@ def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int) -> Da
     return paired.groupBy(bucket.alias("bucket")).applyInArrow(link, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document: components of pairs with similarity ``NUM / DEN`` or more.
+def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", rule: Rule = RULE) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every document: components of pairs that the rule links.
 
     Null and empty texts and texts without words have no shingles and are linked with nothing. A null id counts as the lowest id
     and comes back as null. Rows that repeat an id are one document; if their texts differ, each of them has its size
@@ -337,7 +352,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens, sizes = document_sets(part)
+                tokens, sizes = document_sets(part, rule.words)
                 low, high = digests(tokens, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(sizes), pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), pa.array(np.diff(text_buffer(filled(part.column("text")))[1]))],
@@ -351,7 +366,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     size = sets.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = max(partitions(docs.sparkSession), size // (12 << 20) + 1)
     names = members.where("n_shingles > 0").select("doc_id", "head")
-    found = candidate_edges(source, buckets)
+    found = candidate_edges(source, buckets, rule)
     edges = (
         found.join(names.select(F.col("doc_id").alias("a"), F.col("head").alias("head_a")), "a")
         .join(names.select(F.col("doc_id").alias("b"), F.col("head").alias("head_b")), "b")
@@ -366,7 +381,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     candidates = weighed.join(heavy, "label").select(
         "doc_id", F.col("label").alias("part"), F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"), "tiles"
     )
-    labels = connected_components(verified_edges(source, candidates, buckets))
+    labels = connected_components(verified_edges(source, candidates, buckets, rule))
     return members.join(labels, F.col("head") == F.col("node"), "left").select(
         real_id().alias("doc_id"), "n_shingles", F.when(F.coalesce("label", "head") != NULL_ID, F.coalesce("label", "head")).alias("component_id")
     )

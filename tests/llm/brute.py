@@ -34,16 +34,16 @@ def removed_bytes(docs: list[tuple[int, str | None]], length: int = 100) -> dict
     return out
 
 
-def shingles(text: str | None) -> set[tuple[str, ...]]:
+def shingles(text: str | None, size: int = 3) -> set[tuple[str, ...]]:
     words = WORD.findall(lowered(text or ""))
-    if len(words) >= 3:
-        return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+    if len(words) >= size:
+        return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
     return {tuple(words)} if words else set()
 
 
-def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
-    """``n_shingles, component_id`` by id."""
-    sets = {name: shingles(text) for name, text in docs}
+def components(docs: list[tuple[int, str | None]], size: int = 3, least: int = 90) -> dict[int, tuple[int, int]]:
+    """``n_shingles, component_id`` by id, for shingles of ``size`` words and ``least`` hundredths."""
+    sets = {name: shingles(text, size) for name, text in docs}
     label = {name: name for name in sets}
 
     def root(x: int) -> int:
@@ -55,7 +55,7 @@ def components(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]
     for i, a in enumerate(names):
         for b in names[i + 1 :]:
             shared = len(sets[a] & sets[b])
-            if shared and 100 * shared >= 90 * len(sets[a] | sets[b]):
+            if shared and 100 * shared >= least * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 label[max(x, y)] = min(x, y)
     return {name: (len(sets[name]), root(name)) for name in names}

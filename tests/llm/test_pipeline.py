@@ -8,6 +8,7 @@ import public_tokenizers
 from conftest import SF_DIR
 from llm import brute
 from llm.conftest import prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -41,7 +42,7 @@ def test_run(spark):
         if name == "language identification":
             assert len(after) >= 0.97 * len(before) and all(any(map(str.isalpha, t)) for t in after.values())
         elif name == "n-gram Jaccard join":
-            assert set(after) == {i for i, (_, c) in brute.components(rows).items() if i == c} and len(after) < len(before)
+            assert set(after) == {i for i, (_, c) in brute.components(rows, 5, 80).items() if i == c} and len(after) < len(before)
         elif name == "suffix-array dedup":
             want = brute.removed_bytes(rows)
             assert all(len(after.get(i, "").encode()) >= w[0] - w[1] for i, w in want.items())
@@ -53,6 +54,34 @@ def test_run(spark):
     assert {r["doc_id"]: list(r["ids"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == want
 
 
+def test_near_copies_between_eight_and_nine_tenths(spark):
+    """Copies that 3-word shingles at 0.9 would not link go; copies below 0.8 of 5-word shingles stay."""
+    rng = random.Random(77)
+    rows = []
+    for group in range(12):
+        words = prose(rng, 200).replace("\n", " ").split()
+        for edits in (0, 2, 4, 8, 12):
+            copy = list(words)
+            for n in range(edits):
+                copy[(n * 200) // max(edits, 1) + 7] = f"edit{group}x{edits}x{n}"
+            rows.append((len(rows), " ".join(copy), "en", "s", None, "b", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, bucket string, head long").repartition(4)
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF_DIR).collect()}
+    texts = [(r[0], r[1]) for r in rows]
+    want = {i for i, (_, c) in brute.components(texts, 5, 80).items() if i == c}
+    assert kept == want and want < {i for i, (_, c) in brute.components(texts).items() if i == c} and len(want) > 12
+    repeated = docs.unionByName(docs).unionByName(docs.withColumn("source", F.lit("other")))
+    found = corpus_pipeline.keep_one_of_each_group(spark, repeated, SF_DIR).collect()
+    assert {r["doc_id"] for r in found} == want and len(found) == len(want) and {r["source"] for r in found} == {"other"}
+
+
+def test_emptied_documents_go(spark):
+    text = prose(random.Random(5), 100)
+    rows = [(1, text), (2, text), (3, "\n\n" + text[:150]), (4, "\n \n")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in corpus_pipeline.cut_repeats(spark, docs, SF_DIR).collect()] == [1]
+
+
 def test_texts_that_share_an_id(spark, odd_docs):
     rows = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
     shared = [prose(random.Random(200 + n), 70) for n in range(30)]
