@@ -1,9 +1,10 @@
 """Language identification by prediction by partial matching.
 
 Each language has a tree of byte contexts of up to ``ORDER`` bytes. A byte costs its share of the counts in the longest known
-context; each context that has not seen it costs an escape (the number of distinct bytes over that number plus all counts). The
-statistics are frozen after fitting, so the code length of a byte depends on the bytes before it alone, and all languages' lengths
-are tabulated for each context node and byte. A text's language is the one with the shortest code.
+context; each context that has not seen it costs an escape (the number of distinct bytes over that number plus all counts), one that the language has never
+seen costs nothing; a byte that no context has seen costs eight bits more. The statistics are frozen after fitting, so the code length of a byte
+depends on the bytes before it alone. All contexts, bytes and counts of the sample are kept, and lengths are double precision. A text's language is the one with
+the shortest code.
 """
 
 from __future__ import annotations
@@ -21,30 +22,51 @@ from jobweave.llm.common import filled, slices, text_buffer
 ORDER = 3
 #: Documents of a language that its tree is fitted on at most, about; chosen by a hash of the id.
 SAMPLE_DOCS = 1500
-#: Context nodes and byte symbols of a model at most: the most frequent ones of the sample.
-MOST_NODES = 16_384
-SYMBOLS = 128
-#: Steps of a bit in tabulated code lengths.
-STEPS = 256
-BOS, REST = 0, SYMBOLS - 1
+#: Bytes of text that a task scores at a time.
+SCORED_BYTES = 2 << 20
+#: Stands before a text; no byte of UTF-8.
+START = 255
 UNKNOWN = "und"
 
 
 @dataclass
-class Model:
-    """Languages, byte symbols, context nodes (up to three symbols) and code lengths by node, symbol and language."""
+class Tree:
+    """For contexts of each length: sorted codes of a context with a byte and its bits, sorted codes of contexts and the bits of their escape.
+
+    A code has the latest byte lowest.
+    """
+
+    pairs: list[np.ndarray]
+    bits: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def lengths(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the lowest byte of each code after the ``ORDER`` bytes above it."""
+        out, rest = np.zeros(len(codes)), np.arange(len(codes))
+        for depth in range(ORDER, -1, -1):
+            key = codes[rest] & np.int64((1 << 8 * (depth + 1)) - 1)
+            at, hit = found_at(self.pairs[depth], key)
+            out[rest[hit]] += self.bits[depth][at[hit]]
+            rest, key = rest[~hit], key[~hit]
+            at, known = found_at(self.contexts[depth], key >> 8)
+            out[rest[known]] += self.escapes[depth][at[known]]
+        out[rest] += 8.0
+        return out
 
+
+@dataclass
+class Model:
     languages: list[str]
-    symbol_of: np.ndarray
-    nodes: list[tuple[int, ...]]
-    lengths: np.ndarray
+    trees: list[Tree]
+
 
-    def node_of_history(self) -> np.ndarray:
-        """The deepest node for each three last symbols."""
-        table = np.zeros((SYMBOLS,) * ORDER, np.int32)
-        for number, context in sorted(enumerate(self.nodes), key=lambda x: len(x[1])):
-            table[(slice(None),) * (ORDER - len(context)) + context] = number
-        return table.ravel()
+def found_at(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each key in a sorted table, and whether it is there."""
+    at = np.searchsorted(table, keys)
+    hit = at < len(table)
+    hit[hit] = table[at[hit]] == keys[hit]
+    return at, hit
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -52,41 +74,35 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def histories(part_bytes: np.ndarray, bounds: np.ndarray, symbol_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols with ``ORDER`` start marks before each row, the code of the symbols before each, and row bounds."""
-    rows = len(bounds) - 1
-    lengths = np.diff(bounds)
-    symbols = np.zeros(len(part_bytes) + ORDER * rows, np.int32)
-    ends = bounds[1:] + ORDER * np.arange(1, rows + 1)
-    symbols[np.arange(len(part_bytes)) + np.repeat(ORDER * np.arange(1, rows + 1), lengths)] = symbol_of[part_bytes]
-    before = np.zeros(len(symbols), np.int32)
-    for back in range(ORDER, 0, -1):
-        before[back:] += symbols[:-back] << (7 * (back - 1))
-    return symbols, before, np.stack([ends - lengths, ends], axis=1)
+def byte_codes_of(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each byte of each row the code of itself and the ``ORDER`` bytes before it, start marks where there are none."""
+    place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
+    codes = data.astype(np.int64)
+    for back in range(1, ORDER + 1):
+        before = np.full(len(data), START, np.int64)
+        inside = np.flatnonzero(place >= back)
+        before[inside] = data[inside - back]
+        codes |= before << (8 * back)
+    return codes
 
 
 def context_counts(sample: DataFrame) -> DataFrame:
-    """``lang, code, n``: how often each run of one to four bytes ends at a byte; code is length, then bytes; start is byte 255."""
+    """``lang, code, n``: how often each byte stands after each run of up to ``ORDER`` bytes; the code's bits from 40 on tell the number of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            languages = np.array(batch.column("lang").to_pylist(), object)
-            data, bounds = text_buffer(filled(batch.column("text")))
-            for language in sorted(set(languages.tolist())):
-                rows = np.flatnonzero(languages == language)
-                pieces = [np.r_[np.full(ORDER, 255, np.uint8), data[bounds[r] : bounds[r + 1]]] for r in rows.tolist()]
-                run_ = np.concatenate(pieces).astype(np.int64)
-                real = np.ones(len(run_), bool)
-                starts = np.cumsum([0, *map(len, pieces)])[:-1]
-                real[(starts[:, None] + np.arange(ORDER)).ravel()] = False
-                at = np.flatnonzero(real)
-                code = np.zeros(len(at), np.int64)
-                for size in range(1, ORDER + 2):
-                    code += run_[at - size + 1] << (8 * (size - 1))
-                    values, n = np.unique(code, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([language] * len(values), pa.string()), pa.array(values | (size << 40)), pa.array(n.astype(np.int64))], ["lang", "code", "n"]
-                    )
+            for part in slices(batch, "text"):
+                data, bounds = text_buffer(filled(part.column("text")))
+                coded = part.column("lang").dictionary_encode()
+                language = np.repeat(coded.indices.to_numpy(zero_copy_only=False), np.diff(bounds))
+                codes = byte_codes_of(data, bounds)
+                for number, name in enumerate(coded.dictionary.to_pylist()):
+                    own = codes[language == number]
+                    for size in range(1, ORDER + 2):
+                        values, n = np.unique(own & np.int64((1 << 8 * size) - 1), return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name] * len(values), pa.string()), pa.array(values | (size << 40)), pa.array(n.astype(np.int64))], ["lang", "code", "n"]
+                        )
 
     return sample.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
@@ -98,62 +114,31 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
     ).where("lang is not null and text is not null")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
-        return Model([], np.zeros(256, np.uint8), [()], np.zeros((SYMBOLS, 0), np.uint16))
+        return Model([], [])
     wanted = F.coalesce(
         *[F.when(F.col("lang") == name, F.lit(int((1 << 30) * min(1.0, sample_docs / n)))) for name, n in sorted(sizes.items())], F.lit(0)
     )
-    found = context_counts(rows.where(F.col("_at") < wanted).drop("_at")).where(f"n > 1 or code < {4 << 40}").toArrow()
-    return _build(sorted(sizes), found)
-
-
-def _build(languages: list[str], found: pa.Table) -> Model:
-    code, n = found.column("code").to_numpy(), found.column("n").to_numpy()
-    place = {name: i for i, name in enumerate(languages)}
-    who = np.fromiter((place[x] for x in found.column("lang").to_pylist()), np.int64, len(code))
-    size = code >> 40
-    byte_use = np.zeros(256, np.int64)
-    single = size == 1
-    np.add.at(byte_use, code[single] & 255, n[single])
-    symbol_of = np.full(256, REST, np.uint8)
-    known = [b for b in np.argsort(-byte_use, kind="stable").tolist() if byte_use[b]][: SYMBOLS - 2]
-    symbol_of[known] = np.arange(1, len(known) + 1)
-    symbol_of[255] = BOS
-    folded = np.zeros(len(code), np.int64)
-    for back in range(ORDER + 1):
-        folded |= np.where(back < size, symbol_of[(code >> (8 * back)) & 255].astype(np.int64) << (7 * back), 0)
-    key = (size << 40 | folded) * len(languages) + who
-    keys, inverse = np.unique(key, return_inverse=True)
-    total = np.bincount(inverse, n).astype(np.int64)
-    who, size, folded = keys % len(languages), keys // len(languages) >> 40, keys // len(languages) & ((1 << 40) - 1)
-    symbol, context, depth = folded & 127, folded >> 7, size - 1
-    by_context: dict[tuple[int, int], int] = {}
-    for d, c, x in zip(depth.tolist(), context.tolist(), total.tolist(), strict=True):
-        by_context[d, c] = by_context.get((d, c), 0) + x
-    kept = {(0, 0)}
-    for d, c in sorted(by_context, key=lambda k: (-by_context[k], k))[: MOST_NODES - 1]:
-        while d and (d, c) not in kept and len(kept) < MOST_NODES:
-            kept.add((d, c))
-            d, c = d - 1, c & ((1 << 7 * (d - 1)) - 1)
-    ordered = sorted(kept)
-    number = {k: i for i, k in enumerate(ordered)}
-    row = np.fromiter((number.get(k, -1) for k in zip(depth.tolist(), context.tolist(), strict=True)), np.int64, len(depth))
-    lengths = np.zeros((len(ordered) * SYMBOLS, len(languages)), np.uint16)
-    for language in range(len(languages)):  # one at a time, so that the driver holds the counts of one language
-        mine = (row >= 0) & (who == language)
-        counts = np.zeros((len(ordered), SYMBOLS), np.int32)
-        counts[row[mine], symbol[mine]] = total[mine]
-        bits = np.zeros(counts.shape, np.float32)
-        for at, (d, c) in enumerate(ordered):
-            shorter = bits[number[d - 1, c & ((1 << 7 * (d - 1)) - 1)]] if d else np.full(SYMBOLS, 8.0, np.float32)
-            own = counts[at]
-            seen, distinct = int(own.sum()), int((own > 0).sum())
-            if seen:
-                bits[at] = np.where(own > 0, np.log2((seen + distinct) / np.maximum(own, 1)), shorter + np.log2((seen + distinct) / distinct))
-            else:
-                bits[at] = shorter
-        lengths[:, language] = np.minimum(np.rint(bits * STEPS), 65_535).astype(np.uint16).ravel()
-    nodes = [tuple((c >> (7 * (d - 1 - i))) & 127 for i in range(d)) for d, c in ordered]
-    return Model(languages, symbol_of, nodes, lengths)
+    found = context_counts(rows.where(F.col("_at") < wanted).drop("_at")).orderBy("lang", "code").toArrow()
+    languages, codes, counts = found.column("lang").combine_chunks().dictionary_encode(), found.column("code").to_numpy(), found.column("n").to_numpy()
+    names, number = languages.dictionary.to_pylist(), languages.indices.to_numpy()
+    return Model(names, [grow(codes[number == i], counts[number == i]) for i in range(len(names))])
+
+
+def grow(codes: np.ndarray, counts: np.ndarray) -> Tree:
+    """The tree of sorted codes with their sizes, as ``context_counts`` gives them."""
+    tree = Tree([], [], [], [])
+    for size in range(1, ORDER + 2):
+        own = codes >> 40 == size
+        pairs, n = codes[own] & np.int64((1 << 40) - 1), counts[own]
+        order = np.argsort(pairs)
+        pairs, n = pairs[order], n[order]
+        contexts, of = np.unique(pairs >> 8, return_inverse=True)
+        total, distinct = np.bincount(of, n, len(contexts)), np.bincount(of, minlength=len(contexts))
+        tree.pairs.append(pairs)
+        tree.bits.append(np.log2((total + distinct)[of] / n))
+        tree.contexts.append(contexts)
+        tree.escapes.append(np.log2((total + distinct) / np.maximum(distinct, 1)))
+    return tree
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -167,9 +152,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frozen = shared.value
-        nodes = frozen.node_of_history()
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SCORED_BYTES):
                 column = filled(part.column("text"))
                 data, bounds = text_buffer(column)
                 letters = np.fromiter((any(map(str.isalpha, t)) for t in column.to_pylist()), bool, len(column))
@@ -177,10 +161,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", id_col: str = "d
                 bits = np.zeros((rows, max(1, len(frozen.languages))))
                 full = np.flatnonzero(np.diff(bounds))
                 if len(full) and frozen.languages:
-                    symbols, before, spans = histories(data, bounds, frozen.symbol_of)
-                    cell = nodes[before].astype(np.int64) * SYMBOLS + symbols
-                    for n in range(len(frozen.languages)):
-                        bits[full, n] = np.add.reduceat(np.append(frozen.lengths[:, n][cell].astype(np.int64), 0), spans[full].ravel())[::2] / STEPS
+                    codes, which = np.unique(byte_codes_of(data, bounds), return_inverse=True)
+                    for n, tree in enumerate(frozen.trees):
+                        bits[full, n] = np.add.reduceat(tree.lengths(codes)[which], bounds[full])
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(rows), best]
                 score = 1 / np.exp2(least[:, None] - bits).sum(axis=1)

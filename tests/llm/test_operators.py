@@ -102,6 +102,56 @@ def test_language_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def plain_bits(counts, raw):
+    """Code length of a text, byte by byte, from counts of (context, byte)."""
+    import math
+
+    padded, bits = bytes([255] * 3) + raw, 0.0
+    for at in range(3, len(padded)):
+        for size in (3, 2, 1, 0):
+            own = counts.get(padded[at - size : at])
+            if own is None:
+                continue
+            total, distinct = sum(own.values()), len(own)
+            if padded[at] in own:
+                bits += math.log2((total + distinct) / own[padded[at]])
+                break
+            bits += math.log2((total + distinct) / distinct)
+        else:
+            bits += 8.0
+    return bits
+
+
+def test_code_lengths_equal_a_plain_tree(spark, monkeypatch):
+    """Three scripts and a rare language; every context and byte of the training texts counts."""
+    rng = random.Random(21)
+    scripts = {"la": "abcdeghilmnorstu", "el": "αβγδεηικλμνορστυ", "zh": "的一是不了人我在有他这为之大来以", "rare": "žščřďťňáíéabou"}
+    made = lambda name: " ".join("".join(rng.choices(scripts[name][:12], k=rng.randint(1, 7))) for _ in range(rng.randint(5, 60)))
+    rows = [(i, made(name), name) for i, name in enumerate(["la"] * 60 + ["el"] * 60 + ["zh"] * 60 + ["rare"] * 6)]
+    docs = spark.createDataFrame([*rows, (900, None, "la"), (901, "x", None)], "doc_id long, text string, lang string").repartition(4)
+    counts = {}
+    for i, text, name in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            padded = bytes([255] * 3) + text.encode()
+            for at in range(3, len(padded)):
+                for size in range(4):
+                    own = counts.setdefault(name, {}).setdefault(padded[at - size : at], {})
+                    own[padded[at]] = own.get(padded[at], 0) + 1
+    monkeypatch.setattr(ppm_language, "SCORED_BYTES", 500)
+    model = ppm_language.fit(docs)
+    assert model.languages == sorted(counts)
+    asked = [(i, t) for i, t, _ in rows[::7]] + [(1000, "αβ mixed 的一 text! " * 3), (1001, "Ж новое"), (1002, "a")]
+    found = by_id(ppm_language.identify(spark.createDataFrame(asked, "doc_id long, text string"), model))
+    for i, text in asked:
+        bits = {name: plain_bits(own, text.encode()) for name, own in counts.items()}
+        best = min(sorted(bits), key=bits.get)
+        assert found[i][1] == best and found[i][3] * len(text.encode()) == pytest.approx(bits[best], abs=1e-6)
+        assert found[i][2] == pytest.approx(1 / sum(2.0 ** (bits[best] - b) for b in bits.values()), abs=1e-6)
+    held = [(r["lang"], r["lang_pred"]) for r in ppm_language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()]
+    for name in scripts:
+        assert all(pred == lang for lang, pred in held if lang == name), name
+
+
 def test_language_on_odd_rows(docs, odd_docs, no_docs, texts):
     model = ppm_language.fit(docs)
     got = by_id(ppm_language.identify(docs, model))
