@@ -32,6 +32,18 @@ BREAKS = re.compile(
 )
 TAGS = re.compile(r"<[!/?a-zA-Z][^>]*>")
 CHARSET = re.compile(r"charset\s*=\s*[\"']?([-\w.:]+)", re.I)
+#: A page states its charset in a meta element of its head, wherever in the head that is.
+META_CHARSET = re.compile(rb"<meta\b[^>]*?charset\s*=\s*[\"']?([-\w.:]+)", re.I)
+HEAD_END = re.compile(rb"</head\b|<body\b", re.I)
+
+
+def page_charset(payload: bytes) -> str:
+    """The charset that a page's head names, or nothing. Without an end of the head the whole page is searched."""
+    end = HEAD_END.search(payload)
+    found = META_CHARSET.search(payload, 0, end.start() if end else len(payload))
+    return found[1].decode("ascii", "ignore") if found else ""
+
+
 RECORD_FIELDS = (
     ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()),
     ("content_type", pa.string()), ("content_length", pa.int64()), ("block_digest", pa.string()), ("payload_digest", pa.string()),
@@ -115,8 +127,8 @@ def derive(raw: bytes) -> list[dict]:
     identity = source.get("warc-record-id") or found + source.get("warc-target-uri", "")
     metadata_id, conversion_id = (f"<urn:uuid:{uuid.uuid5(SPACE, kind + ' ' + identity)}>" for kind in ("metadata", "conversion"))
     kind = http.get("content-type", "").partition(";")[0].strip().lower()
-    charset = CHARSET.search(http.get("content-type", "")) or CHARSET.search(payload[:1024].decode("ascii", "ignore"))
-    name = charset[1].lower() if charset else "utf-8"
+    charset = CHARSET.search(http.get("content-type", ""))
+    name = (charset[1] if charset else page_charset(payload)).lower() or "utf-8"
     try:
         text = payload.decode(name, "replace")
     except LookupError:

@@ -194,6 +194,31 @@ def check_shards(rows):
     assert max(counts) - min(counts) <= 1
 
 
+def test_shards_follow_the_curve_and_prune_files(spark, new_dir):
+    """A plain sort by curve index gives the same order, and a filter on language and size meets few of the written files."""
+    import pyarrow.dataset as ds
+
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    rows = hilbert_sharding.document_metadata(docs)
+    cuts = hilbert_sharding.size_cuts(rows, "size", ["doc_id"], 5)
+    assert len(cuts) == 31
+    levels = [r["n"] for r in rows.groupBy(hilbert_sharding.ranged_level(F.col("size"), cuts).alias("level")).agg(F.count("*").alias("n")).collect()]
+    assert len(levels) == 32 and max(levels) < 0.06 * sum(levels)
+    coordinates = [hilbert_sharding.hashed_level(F.col("lang"), 5), hilbert_sharding.hashed_level(F.col("source"), 5), hilbert_sharding.ranged_level(F.col("size"), cuts)]
+    placed = hilbert_sharding.hilbert_shards(rows, coordinates, 5, 16, ["doc_id"], ["doc_id", "size", "lang", "source"])
+    order = [r["curve_index"] for r in placed.orderBy("shard", "slot").collect()]
+    assert order == sorted(order)
+    hilbert_sharding.write_shards(placed, new_dir + "/shards", 16)
+    longest = sorted(r["size"] for r in rows.collect())[-100]
+    met = 0
+    for f in ds.dataset(new_dir + "/shards").get_fragments():
+        s = [g.statistics for g in f.row_groups]
+        met += any(g["size"]["max"] >= longest and g["lang"]["min"] <= "de" <= g["lang"]["max"] for g in s)
+    assert 0 < met <= 8
+    found = spark.read.parquet(new_dir + "/shards")
+    assert found.where(f"lang = 'de' and size >= {longest}").count() == rows.where(f"lang = 'de' and size >= {longest}").count() and found.count() == rows.count()
+
+
 # 5 BPE
 
 
@@ -459,6 +484,44 @@ def test_derivatives(spark):
     assert warc_derivatives.build_derivatives(rows.limit(0)).count() == 0
 
 
+def test_charset_anywhere_in_the_head():
+    filler = b"<script>" + b"x();" * 2000 + b"</script>"
+    for meta, name in ((b"<meta charset=iso-8859-1>", "iso-8859-1"), (b"<META http-equiv='Content-Type' content='text/html; Charset=windows-1252'>", "windows-1252"), (b"", "utf-8")):
+        payload = b"<html><head>" + filler + meta + b"</head><body><p>charset=latin-1 caf\xe9</p>"
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + payload
+        made = {r["record_type"]: r for r in warc_derivatives.derive(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\n\r\n" + block)}
+        assert f"charset: {name}\r\n".encode() in made["metadata"]["record"]
+        assert made["conversion"]["record"].endswith(("charset=latin-1 café" if meta else "charset=latin-1 caf\ufffd").encode() + b"\r\n\r\n")
+
+
+def test_every_record_of_the_given_pages_parses_back(spark):
+    """A plain reader of the WARC format gets every derived record of every page, linked and with true lengths and digests."""
+    import base64
+    import hashlib
+
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    rows = warc_derivatives.build_derivatives(warc_derivatives.page_responses(pages), columns=("page_id", "url")).collect()
+    markup = {r["page_id"]: r["html"] for r in pages.collect()}
+    assert len(rows) == 2 * len(markup)
+    ids = {}
+    for r in rows:
+        head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
+        first, *lines = head.decode().split("\r\n")
+        fields = dict(line.split(": ", 1) for line in lines)
+        size = int(fields["Content-Length"])
+        block = rest[:size]
+        assert first == "WARC/1.1" and rest[size:] == b"\r\n\r\n" and fields["WARC-Type"] == r["record_type"] and fields["WARC-Target-URI"] == r["url"]
+        assert fields["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode() == r["block_digest"]
+        ids.setdefault(r["page_id"], {})[r["record_type"]] = fields
+        if r["record_type"] == "conversion":
+            assert block.decode() == warc_derivatives.visible_text(markup[r["page_id"]])
+        else:
+            assert f"payload-length: {len(markup[r['page_id']].encode())}\r\n".encode() in block
+    for own in ids.values():
+        assert own["metadata"]["WARC-Refers-To"] == own["conversion"]["WARC-Refers-To"] and own["conversion"]["WARC-Concurrent-To"] == own["metadata"]["WARC-Record-ID"]
+    assert len({f["WARC-Record-ID"] for own in ids.values() for f in own.values()}) == len(rows)
+
+
 def test_derivatives_of_pages(spark):
     pages = spark.createDataFrame([(1, "http://a/", "<p>x</p>", "r"), (None, None, None, "s")], "page_id long, url string, html string, record string")
     rows = warc_derivatives.build_derivatives(warc_derivatives.page_responses(pages), columns=("page_id",)).collect()
