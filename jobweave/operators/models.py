@@ -12,20 +12,18 @@ from pyspark.ml.feature import (
     ElementwiseProduct,
     IDF,
     Normalizer,
-    OneHotEncoder,
     SQLTransformer,
-    StringIndexer,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from jobweave.functions.rules import hash_percent, threshold_label
 from jobweave.operators import metrics
+from jobweave.operators.boosting import BoostedTrees, fit_boosted_trees
 from jobweave.operators.features import token_stages
 from jobweave.operators.sparse_tree import TextTree, fit_text_tree
 from jobweave.operators.splits import balanced_weights, check_training_rows, drop_nulls, hash_split, stratified_split
@@ -41,7 +39,7 @@ ACCEPTANCE_MODEL = "models/acceptance"
 class Trained:
     """A fitted pipeline, its scalar metrics, and its tables of test metrics (lazy)."""
 
-    model: PipelineModel | TextTree
+    model: PipelineModel | TextTree | BoostedTrees
     metrics: dict[str, float]
     tables: dict[str, DataFrame] = field(default_factory=dict)
     cached: list[DataFrame] = field(default_factory=list)
@@ -172,34 +170,21 @@ def train_salary_forecaster(
     categorical: Sequence[str] = ("location",),
     rounds: int = 100,
     min_rows: int = 10,
+    patience: int = 10,
 ) -> Trained:
-    """Scaled numbers and one-hot categories into boosted trees: 100 rounds, rate 0.1, depth 5.
+    """Numbers and one-hot categories into boosted trees: 100 rounds, rate 0.1, depth 5, stopped after ten flat rounds.
 
-    Early stopping watches a tenth of the train rows and never the test rows; Spark stops on a
-    relative tolerance.
+    Early stopping watches a tenth of the train rows and never the test rows; the model is that of the best round. Trees do not see the
+    scale of a number, so numbers are binned as they are.
     """
     required = [id_col, *numeric, *categorical, target]
     rows = drop_nulls(df, required).select(required)
     check_training_rows(rows, min_rows=min_rows)
     split = hash_split(rows, id_col, 80).withColumn("_watch", hash_percent(F.concat(F.lit("watch"), F.col(id_col))) < 10)
     split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.where("is_train")
-    scaling = _population_scaling(train, numeric)
-    indexed = [f"_i_{c}" for c in categorical]
-    hot = [f"_h_{c}" for c in categorical]
-    encoders = [
-        StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="keep"),
-    ] if categorical else []
-    assembler = VectorAssembler(inputCols=[*(f"_z_{c}" for c in numeric), *hot], outputCol="_features")
-    head = Pipeline(stages=[scaling, *encoders, assembler]).fit(train)
-    trees = GBTRegressor(
-        featuresCol="_features", labelCol=target, predictionCol="predicted_salary", maxIter=rounds, stepSize=0.1,
-        maxDepth=5, seed=42, validationIndicatorCol="_watch", validationTol=0.0001,
-    ).fit(head.transform(train))
-    model = chain([*head.stages, trees, _drop(["_features", *(f"_z_{c}" for c in numeric), *indexed, *hot])])
+    model, stopped = fit_boosted_trees(split.where("is_train"), target, numeric, categorical, "_watch", "predicted_salary", rounds, patience=patience)
     scored = model.transform(split).select(id_col, target, "predicted_salary", "is_train").persist(StorageLevel.MEMORY_AND_DISK)
-    found: dict[str, float] = {}
+    found: dict[str, float] = dict(stopped)
     for name, part in (("train", scored.where("is_train")), ("test", scored.where(~F.col("is_train")))):
         gap = F.col(target).cast("double") - F.col("predicted_salary")
         r = part.agg(
@@ -212,15 +197,15 @@ def train_salary_forecaster(
             found["test_mae"] = r["mae"]
     split.unpersist()
     if path:
-        save_model(model, path)
+        model.save(df.sparkSession, path)
     return Trained(model, found, {"test": scored.where(~F.col("is_train"))}, [scored])
 
 
-def predict_salary(df: DataFrame, model: PipelineModel | None = None, path: str = SALARY_MODEL) -> DataFrame:
+def predict_salary(df: DataFrame, model: BoostedTrees | None = None, path: str = SALARY_MODEL) -> DataFrame:
     """``df`` with ``predicted_salary``; no rows is an error. Without a model the saved one is loaded."""
     if df.isEmpty():
         raise ValueError("no rows to score")
-    return model_or_load(model, path).transform(df)
+    return (BoostedTrees.load(df.sparkSession, path) if model is None else model).transform(df)
 
 
 # --- offer acceptance ---------------------------------------------------------------------

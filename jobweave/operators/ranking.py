@@ -128,7 +128,7 @@ def order_cuts(values: DataFrame, column: str, parts: int) -> Column:
     every = max(1, rows // (16 * parts))
     sample = sorted(r[0] for r in values.where(F.pmod(F.xxhash64(column), F.lit(every)) == 0).select(column).collect())
     kind = values.schema[column].dataType.simpleString()
-    return F.array(*[F.lit(c) for c in sample[:: max(1, len(sample) // parts)]]).cast(f"array<{kind}>")
+    return F.array(*[F.lit(c) for c in sample[:: max(1, -(-len(sample) // parts))]]).cast(f"array<{kind}>")
 
 
 def numbered_in_order(df: DataFrame, column: str, out: str, parts: int | None = None) -> DataFrame:

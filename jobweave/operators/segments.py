@@ -35,11 +35,16 @@ def cluster_jobs(
     """K-means segments of an embedding array column or, with ``'tfidf'``, of a text column.
 
     Returns the fitted pipeline and ``df`` with the columns ``features`` and ``cluster``.
-    Embeddings are standardised per dimension; TF-IDF vectors (1000 terms) stay sparse.
+    Embeddings are standardised per dimension; TF-IDF vectors (1000 terms) stay sparse. A null text counts as an empty one; rows without an
+    embedding are not fitted on and come back with null in both columns.
     """
     if feature_type not in ("embeddings", "tfidf"):
         raise ValueError("feature_type must be 'embeddings' or 'tfidf'")
-    rows = df.where(F.col(column).isNotNull())
+    without = None
+    if feature_type == "embeddings":
+        rows, without = df.where(F.col(column).isNotNull()), df.where(F.col(column).isNull())
+    else:
+        rows = df.withColumn(column, F.coalesce(F.col(column), F.lit("")))
     clusters = _at_most(rows, k)
     if feature_type == "embeddings":
         prepared = rows.withColumn("_vector", array_to_vector(as_doubles(F.col(column))))
@@ -55,7 +60,8 @@ def cluster_jobs(
     fitted = means.fit(features)
     # Already fitted stages pass through; nothing is fitted twice.
     model = PipelineModel(stages=[*head.stages, fitted])
-    return model, fitted.transform(features).drop(*scratch)
+    labelled = fitted.transform(features).drop(*scratch)
+    return model, labelled if without is None else labelled.unionByName(without, allowMissingColumns=True)
 
 
 def assign_clusters(df: DataFrame, id_col: str, vector_col: str, centroids: DataFrame) -> DataFrame:

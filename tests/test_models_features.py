@@ -174,6 +174,15 @@ def test_clusters(spark, texts):
             bad()
 
 
+def test_rows_without_a_vector_or_text_stay(spark):
+    rows = [(i, [float(i % 2), 1.0 + i % 3], "alpha beta" if i % 2 else "gamma delta") for i in range(20)] + [(100, None, None), (101, None, "alpha beta")]
+    frame = spark.createDataFrame(rows, "id long, v array<double>, t string")
+    out = {r["id"]: r["cluster"] for r in segments.cluster_jobs(frame, "v", 2)[1].collect()}
+    assert len(out) == 22 and out[100] is None and out[101] is None and None not in {c for i, c in out.items() if i < 100}
+    texts = {r["id"]: r["cluster"] for r in segments.cluster_jobs(frame, "t", 2, "tfidf", stop_words=[])[1].collect()}
+    assert len(texts) == 22 and None not in texts.values()
+
+
 def test_assignment_to_centroids_breaks_ties_by_number(spark):
     centroids = spark.createDataFrame([(1, [0.0, 2.0]), (0, [0.0, 0.0])], "cluster int, center array<double>")
     points = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 3.0])], "id int, v array<double>")
