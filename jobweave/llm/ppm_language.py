@@ -22,8 +22,8 @@ from jobweave.llm.common import filled, slices, text_buffer
 ORDER = 3
 #: Documents of a language that its tree is fitted on at most, about; chosen by a hash of the id.
 SAMPLE_DOCS = 1500
-#: Bytes of text that a task scores at a time.
-SCORED_BYTES = 2 << 20
+#: Bytes of text that a task counts or scores at a time.
+SCORED_BYTES = 1 << 20
 #: Stands before a text; no byte of UTF-8.
 START = 255
 UNKNOWN = "und"
@@ -76,13 +76,17 @@ def fold(id_col: str = "doc_id") -> Column:
 
 def byte_codes_of(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each byte of each row the code of itself and the ``ORDER`` bytes before it, start marks where there are none."""
-    place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
-    codes = data.astype(np.int64)
+    codes = data.astype(np.uint32)
+    heads = bounds[:-1][bounds[:-1] < bounds[1:]]
+    ends = bounds[1:][bounds[:-1] < bounds[1:]]
     for back in range(1, ORDER + 1):
-        before = np.full(len(data), START, np.int64)
-        inside = np.flatnonzero(place >= back)
-        before[inside] = data[inside - back]
-        codes |= before << (8 * back)
+        before = np.full(len(data), START, np.uint32)
+        before[back:] = data[:-back]
+        for place in range(back):
+            # the first bytes of a row have no byte so far before them
+            first = heads + place
+            before[first[first < ends]] = START
+        codes |= before << np.uint32(8 * back)
     return codes
 
 
@@ -91,7 +95,7 @@ def context_counts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCORED_BYTES):
                 data, bounds = text_buffer(filled(part.column("text")))
                 coded = part.column("lang").dictionary_encode()
                 language = np.repeat(coded.indices.to_numpy(zero_copy_only=False), np.diff(bounds))
@@ -99,7 +103,8 @@ def context_counts(sample: DataFrame) -> DataFrame:
                 for number, name in enumerate(coded.dictionary.to_pylist()):
                     own = codes[language == number]
                     for size in range(1, ORDER + 2):
-                        values, n = np.unique(own & np.int64((1 << 8 * size) - 1), return_counts=True)
+                        values, n = np.unique(own & np.uint32((1 << 8 * size) - 1), return_counts=True)
+                        values = values.astype(np.int64)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([name] * len(values), pa.string()), pa.array(values | (size << 40)), pa.array(n.astype(np.int64))], ["lang", "code", "n"]
                         )
@@ -163,7 +168,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", id_col: str = "d
                 if len(full) and frozen.languages:
                     codes, which = np.unique(byte_codes_of(data, bounds), return_inverse=True)
                     for n, tree in enumerate(frozen.trees):
-                        bits[full, n] = np.add.reduceat(tree.lengths(codes)[which], bounds[full])
+                        bits[full, n] = np.add.reduceat(tree.lengths(codes.astype(np.int64))[which], bounds[full])
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(rows), best]
                 score = 1 / np.exp2(least[:, None] - bits).sum(axis=1)
