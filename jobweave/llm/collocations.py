@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, mix, partitions, prefix_hashes, slices, text_buffer, words_of, written
+from jobweave.llm.common import LOWER, NULL_ID, SLICE_BYTES, byte_codes, filled, mix, packed, partitions, prefix_hashes, slices, text_buffer, unpacked, words_of, written
 
 UNKNOWN = "und"
 WORDS = 3
@@ -126,20 +126,6 @@ def _counted(words: Piecewise, language: np.ndarray, code: np.ndarray, times: np
     return shown, at[first], n[first], np.bincount(group.ravel(), times[row], len(first)).astype(np.int64)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers byte by byte, lowest bytes first, compressed: small numbers take little room."""
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
-
-
-def unpacked(blob: bytes) -> np.ndarray:
-    import zstandard
-
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
-
-
 def count_pointers(docs: DataFrame, ranges: int, most: int) -> DataFrame:
     """``part, slice, prints, counts, pointers``: the distinct runs of words of each slice, in ranges of their fingerprints.
 

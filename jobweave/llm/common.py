@@ -184,6 +184,40 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(np.add.reduceat(parts, first) + lengths.astype(np.uint64))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte, lowest bytes first, compressed: small numbers take little room."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
+
+
+#: Bits of a bitmap that is sent to every task: 8 MB.
+BITS = 1 << 26
+
+
+def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The bits of the 64-bit numbers of a column ``h``. Every task sends what it has of a table of fixed size."""
+    place = F.pmod("h", F.lit(bits))
+    parts = hashes.groupBy(F.floor(place / F.lit(32768)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits"))
+    out = np.zeros((bits // 32768, 4096), np.uint8)
+    for r in parts.collect():
+        out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each number is set: always for those of the bitmap, and for others the more often the fuller it is."""
+    place = hashes & np.uint64(8 * len(bits) - 1)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
 def prefix_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The Rabin-Karp hash modulo 2^64 of each run of values: a difference of prefix polynomials, moved to power 0 by the base's inverse."""
     base = 0x9E3779B97F4A7C15

@@ -19,13 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import filled, mix, prefix_hashes, row_keys, slices, text_buffer, word_hashes, words_of, written
+from jobweave.llm.common import bitmap, filled, is_set, mix, prefix_hashes, row_keys, slices, text_buffer, word_hashes, words_of, written
 
 WINDOW = 10
 #: Windows that a task takes apart at a time.
 BLOCK = 50_000
-#: Bits of a bitmap: 8 MB.
-BITS = 1 << 26
 #: Bytes that are no part of a word read as blanks, A to Z as a to z.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -64,21 +62,6 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return data, starts, ends, word_hashes(data, starts, ends), before
 
 
-def bitmap(hashes: DataFrame) -> np.ndarray:
-    """The bits of the 64-bit numbers of a column ``h``. Every task sends what it has of a bounded table."""
-    place = F.pmod("h", F.lit(BITS))
-    parts = hashes.groupBy(F.floor(place / F.lit(32768)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits"))
-    out = np.zeros((BITS // 32768, 4096), np.uint8)
-    for r in parts.collect():
-        out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out.ravel()
-
-
-def is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(BITS - 1)
-    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-
-
 def window_words(windows: DataFrame, block: int) -> DataFrame:
     """``window, size, whole, place, h``: of each window the hash of all its words in order, and each word's hash."""
 

@@ -6,12 +6,14 @@ may lie apart (in the sum of coordinate differences). The groups are cut into sl
 pair agree in one slab altogether. That slab routes a point to its partition of the index.
 
 1. Equal sets are folded by a 128-bit digest; the least id stands for them.
-2. A document sends one short record per slab. Documents that agree in a slab of three or more shingles are candidates; slabs of
+2. A linked document shares ``num / den`` of its set with another one. Counting in how many documents each shingle occurs (40 bits of it
+   within a range) therefore leaves out all documents with too few shingles that occur twice; a bitmap of fixed size tells the tasks which stay.
+3. A document that stays sends one short record per slab. Documents that agree in a slab of three or more shingles are candidates; slabs of
    fewer carry a 64-group point, and a packed R-tree over these finds the candidates.
-3. Candidates are gathered by connected component. Each component holds an R-tree of fine group counts; node against
+4. Candidates are gathered by connected component. Each component holds an R-tree of fine group counts; node against
    node and then point against point the overlap is bounded by summed minima, and what survives is verified on the whole sets.
    Components beyond ``TILE`` shingles are cut into tiles, and each pair of tiles is a task of its own.
-4. Only links that join two parts are kept, and their components are the result.
+5. Only links that join two parts are kept, and their components are the result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobweave.llm.common import LOWER, NULL_ID, filled, ids, keyed, mix, pack, partitions, real_id, slices, text_buffer, unpack, word_hashes, words_of, written
+from jobweave.llm.common import (
+    LOWER, NULL_ID, bitmap, filled, ids, is_set, keyed, mix, pack, packed, partitions, real_id, slices, text_buffer, unpack, unpacked, word_hashes, words_of, written,
+)
 from jobweave.llm.components import connected_components
 
 POINT = 64
@@ -150,7 +154,8 @@ def enough(overlap: np.ndarray, both: np.ndarray, rule: Rule = RULE) -> np.ndarr
 
 
 def rtree_links(
-    points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, int], bool] | None, cut: int | None = None, rule: Rule = RULE
+    points: np.ndarray, sizes: np.ndarray, verify: Callable[[int, int], bool] | None, cut: int | None = None, rule: Rule = RULE,
+    joined: tuple[Callable[[int], int], Callable[[int, int], bool], np.ndarray] | None = None,
 ) -> list[tuple[int, int]]:
     """Links that join parts of the set: a packed R-tree of count vectors joined with itself.
 
@@ -169,6 +174,9 @@ def rtree_links(
         heads = np.arange(0, len(top), NODE)
         levels.append((np.maximum.reduceat(top, heads), np.minimum.reduceat(low, heads), np.maximum.reduceat(high, heads)))
     find, unite = forest(n)
+    if joined is not None:
+        find_all, unite_all, number = joined[0], joined[1], joined[2][order].tolist()
+        find, unite = lambda x: find_all(number[x]), lambda x, y: unite_all(number[x], number[y])
     links = []
     stack = [(len(levels) - 1, 0, 0)]
     while stack:
@@ -199,8 +207,51 @@ def rtree_links(
     return links
 
 
-def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
-    """Edges ``a, b`` that connect all documents which agree in a slab."""
+def shared_shingles(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
+    """``doc_id, n_shared``: how many shingles of a document occur in other rows as well, or a few more, as 40 bits stand for a shingle of a range."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                tokens, sizes = document_sets(part, rule.words)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                place = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                short = tokens & np.uint64((1 << 40) - 1)
+                order = np.lexsort((short, place))
+                place, short, row = place[order], short[order], row[order]
+                cuts = np.searchsorted(place, np.arange(buckets + 1)).tolist()
+                doc, found = ids(part.column("doc_id")), []
+                for bucket, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    if x < y:
+                        own, number = np.unique(row[x:y], return_inverse=True)
+                        found.append((bucket, packed(np.diff(short[x:y], prepend=np.uint64(0))), packed(number.ravel()), packed(doc[own].view(np.uint64))))
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), *(pa.array([f[i] for f in found], pa.binary()) for i in (1, 2, 3))], ["bucket", "shingles", "rows", "docs"])
+
+    def count(table: pa.Table) -> pa.Table:
+        short = [np.cumsum(unpacked(b)) for b in table.column("shingles").to_pylist()]
+        docs = [unpacked(b) for b in table.column("docs").to_pylist()]
+        first = np.cumsum([0, *map(len, docs)])
+        row = np.concatenate([unpacked(b).astype(np.int64) + at for b, at in zip(table.column("rows").to_pylist(), first.tolist(), strict=False)])
+        _, group, n = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
+        shared = np.bincount(row[n[group.ravel()] > 1], minlength=int(first[-1]))
+        doc, inverse = np.unique(np.concatenate(docs)[shared > 0].view(np.int64), return_inverse=True)
+        total = np.bincount(inverse.ravel(), shared[shared > 0], len(doc)).astype(np.uint64)
+        out = list(pack((mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32), doc, total))
+        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "doc": pa.array([packed(np.frombuffer(v[0], np.uint64)) for _, v in out], pa.binary()), "n": pa.array([packed(np.frombuffer(v[1], np.uint64)) for _, v in out], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        doc, n = (np.concatenate([unpacked(b) for b in table.column(c).to_pylist()]) for c in ("doc", "n"))
+        doc, inverse = np.unique(doc.view(np.int64), return_inverse=True)
+        return pa.table({"doc_id": pa.array(doc), "n_shared": pa.array(np.bincount(inverse.ravel(), n, len(doc)).astype(np.int64))})
+
+    dealt = source.mapInArrow(deal, "bucket int, shingles binary, rows binary, docs binary")
+    counted = dealt.groupBy("bucket").applyInArrow(count, "bucket int, doc binary, n binary")
+    return counted.groupBy("bucket").applyInArrow(add, "doc_id long, n_shared long")
+
+
+def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE, staying: np.ndarray | None = None) -> DataFrame:
+    """Edges ``a, b`` that connect all documents which agree in a slab, of those whose bit in ``staying`` is set."""
+    shared = None if staying is None else source.sparkSession.sparkContext.broadcast(staying)
     names = ["mark", "doc", "light_mark", "light_doc", "light_size", "light_point", "known_a", "known_b"]
     kinds = ["u8", "i8", "u8", "i8", "i8", "u1", "i8", "i8"]
 
@@ -208,6 +259,8 @@ def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataF
         classes = size_classes(rule)
         slabs = slab_counts(classes, rule)
         for batch in batches:
+            if shared is not None:
+                batch = batch.filter(pa.array(is_set(shared.value, mix(ids(batch.column("doc_id"))))))
             for part in slices(batch, "text"):
                 yield from deal_slice(part, classes, slabs)
 
@@ -259,6 +312,12 @@ def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataF
         fresh = np.r_[True, mark[1:] != mark[:-1]] if len(mark) else np.zeros(0, bool)
         center = doc[np.maximum.accumulate(np.where(fresh, np.arange(len(mark)), 0))] if len(mark) else doc
         a, b = [known_a, doc[~fresh]], [known_b, center[~fresh]]
+        # one forest over the documents of the bucket: what one mark has joined, the next need not find again
+        known = np.unique(np.concatenate([light_doc, *a, *b]))
+        find, unite = forest(len(known))
+        for x, y in zip(np.searchsorted(known, np.concatenate(a)).tolist(), np.searchsorted(known, np.concatenate(b)).tolist(), strict=True):
+            unite(x, y)
+        number = np.searchsorted(known, light_doc)
         light_point = light_point.reshape(-1, POINT)
         order = np.argsort(light_mark, kind="stable")
         light_mark = light_mark[order]
@@ -266,9 +325,11 @@ def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataF
         for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True) if len(cuts) else ():
             if y - x > 1:
                 rows = order[x:y]
+                if len({find(d) for d in number[rows].tolist()}) == 1:
+                    continue
                 points = light_point[rows].astype(np.int32)
                 points[points == 255] = 1 << 24
-                found = rtree_links(points, light_size[rows], None, rule=rule)
+                found = rtree_links(points, light_size[rows], None, rule=rule, joined=(find, unite, number[rows]))
                 a.append(light_doc[rows[[i for i, _ in found]]] if found else known_a[:0])
                 b.append(light_doc[rows[[j for _, j in found]]] if found else known_b[:0])
         a, b = distinct_pairs(np.concatenate(a), np.concatenate(b))
@@ -340,6 +401,16 @@ def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int, rule:
     return paired.groupBy(bucket.alias("bucket")).applyInArrow(link, "a long, b long")
 
 
+def mixed_ids(docs: DataFrame) -> DataFrame:
+    """``h``: the mixed ids, as the tasks mix them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(mix(ids(batch.column("doc_id"))).view(np.int64))], ["h"])
+
+    return docs.select("doc_id").mapInArrow(run, "h long")
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", rule: Rule = RULE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document: components of pairs that the rule links.
 
@@ -366,7 +437,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     size = sets.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = max(partitions(docs.sparkSession), size // (12 << 20) + 1)
     names = members.where("n_shingles > 0").select("doc_id", "head")
-    found = candidate_edges(source, buckets, rule)
+    least = sets.where("n_shingles > 0").groupBy("doc_id").agg(F.min("n_shingles").alias("n"))
+    # of equal sets only the head is dealt
+    heads_only = members.where("doc_id = head").select("doc_id").distinct()
+    enough_shared = shared_shingles(source, buckets, rule).join(least, "doc_id").where(rule.den * F.col("n_shared") >= rule.num * F.col("n")).join(heads_only, "doc_id")
+    found = candidate_edges(source, buckets, rule, bitmap(mixed_ids(enough_shared)))
     edges = (
         found.join(names.select(F.col("doc_id").alias("a"), F.col("head").alias("head_a")), "a")
         .join(names.select(F.col("doc_id").alias("b"), F.col("head").alias("head_b")), "b")

@@ -395,7 +395,6 @@ def test_contamination_of_texts_that_share_an_id(spark, block):
 def test_contamination_with_full_bitmaps(docs, texts, spark, monkeypatch):
     """Where the bitmaps let everything through, the join alone decides."""
     items = [(1, texts[8][1]), (2, texts[9][1]), (3, "one")]
-    monkeypatch.setattr(decontamination, "BITS", 1 << 15)
     monkeypatch.setattr(decontamination, "bitmap", lambda hashes: decontamination.np.full(4096, 255, decontamination.np.uint8))
     got = decontamination.contamination_report(decontamination.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string")))
     assert {i: r[:4] for i, r in by_id(got).items()} == brute.contamination(texts, items)
