@@ -6,16 +6,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     CountVectorizer,
     ElementwiseProduct,
     IDF,
     Normalizer,
-    SQLTransformer,
-    VectorAssembler,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +21,9 @@ from jobweave.functions.rules import hash_percent, threshold_label
 from jobweave.operators import metrics
 from jobweave.operators.boosting import BoostedTrees, fit_boosted_trees
 from jobweave.operators.features import token_stages
+from jobweave.operators.newton import LogisticModel, fit_logistic
 from jobweave.operators.sparse_tree import TextTree, fit_text_tree
 from jobweave.operators.splits import balanced_weights, check_training_rows, drop_nulls, hash_split, stratified_split
-from jobweave.sources.models import model_or_load, save_model
 
 # Where scoring looks for a model when it is given none. Training saves where it is told to.
 CATEGORY_MODEL = "models/category"
@@ -37,9 +33,9 @@ ACCEPTANCE_MODEL = "models/acceptance"
 
 @dataclass
 class Trained:
-    """A fitted pipeline, its scalar metrics, and its tables of test metrics (lazy)."""
+    """A fitted model, its scalar metrics, and its tables of test metrics (lazy)."""
 
-    model: PipelineModel | TextTree | BoostedTrees
+    model: TextTree | BoostedTrees | LogisticModel
     metrics: dict[str, float]
     tables: dict[str, DataFrame] = field(default_factory=dict)
     cached: list[DataFrame] = field(default_factory=list)
@@ -91,19 +87,10 @@ def _terms_within(df: DataFrame, tokens: Sequence, min_df: float, max_df: float)
     return split.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n").between(low, high)).count()
 
 
-def _balanced(train: DataFrame, label: str) -> DataFrame:
-    """The rows with ``_weight``: all rows by classes times the rows of the own class."""
-    return train.join(balanced_weights(train, label).select(label, F.col("weight").alias("_weight")), label)
-
-
 def _one_row(df: DataFrame) -> dict:
     return df.first().asDict()
 
 
-def _drop(columns: Sequence[str]) -> SQLTransformer:
-    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(columns)}) FROM __THIS__")
-
-
 # --- category -----------------------------------------------------------------------------
 
 
@@ -149,18 +136,6 @@ def predict_job_category(df: DataFrame, model: TextTree | None = None, path: str
 # --- salary -------------------------------------------------------------------------------
 
 
-def _population_scaling(df: DataFrame, columns: Sequence[str]) -> SQLTransformer:
-    """Standardisation with the train rows' mean and population deviation as a persistable stage."""
-    parts = []
-    for c in columns:
-        parts += [F.avg(c).alias(f"{c}_m"), F.stddev_pop(c).alias(f"{c}_s")]
-    s = df.agg(*parts).first()
-    exprs = [
-        f"(CAST({c} AS DOUBLE) - ({float(s[f'{c}_m'])!r}D)) / {float(s[f'{c}_s']) or 1.0!r}D AS _z_{c}" for c in columns
-    ]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
-
-
 def train_salary_forecaster(
     df: DataFrame,
     id_col: str,
@@ -226,7 +201,8 @@ def train_acceptance_predictor(
 ) -> Trained:
     """Scaled numbers and 0/1 flags into a class-balanced L2 logistic regression, 75/25 stratified.
 
-    Of the named features those present are used. Spark leaves the intercept unpenalised.
+    Of the named features those present are used. The intercept is penalised like a coefficient, and the fit is Newton's
+    (:mod:`jobweave.operators.newton`): under ten passes over the train rows.
     """
     numbers = [c for c in numeric if c in df.columns]
     flags = [c for c in binary if c in df.columns]
@@ -237,18 +213,9 @@ def train_acceptance_predictor(
     check_training_rows(rows, target, min_rows=min_rows)
     split = stratified_split(rows, target, id_col, 0.75).persist(StorageLevel.MEMORY_AND_DISK)
     train = split.where("is_train")
-    total = check_training_rows(train, target)["rows"]
-    scaling = [_population_scaling(train, numbers)] if numbers else []
-    assembler = VectorAssembler(inputCols=[*(f"_z_{c}" for c in numbers), *flags], outputCol="_features")
-    head = Pipeline(stages=[*scaling, assembler]).fit(train)
-    # The balanced weights sum to the row count, so this is the penalty 1/2 |w|^2 against C times the loss.
-    fitted = LogisticRegression(
-        featuresCol="_features", labelCol=target, weightCol="_weight", predictionCol="_prediction",
-        rawPredictionCol="_raw", probabilityCol="_probability", elasticNetParam=0.0, standardization=False,
-        regParam=1.0 / (inverse_penalty * total), maxIter=100,
-    ).fit(head.transform(_balanced(train, target)))
-    # The probability vector becomes a plain column in predict_acceptance.
-    model = chain([*head.stages, fitted, _drop(["_features", "_raw", "_prediction", *(f"_z_{c}" for c in numbers)])])
+    check_training_rows(train, target)
+    weights = {int(r[target]): r["weight"] for r in balanced_weights(train, target).collect()}
+    model = fit_logistic(train, target, numbers, flags, weights, inverse_penalty)
     scored = predict_acceptance(split, model).persist(StorageLevel.MEMORY_AND_DISK)
     labelled = scored.withColumn("predicted", threshold_label(F.col("acceptance_probability")))
     accuracy = labelled.groupBy("is_train").agg(F.avg((F.col(target) == F.col("predicted")).cast("double")).alias("a"))
@@ -257,10 +224,10 @@ def train_acceptance_predictor(
     auc = _one_row(metrics.roc_auc(test, target, "acceptance_probability"))["auc"]
     split.unpersist()
     if path:
-        save_model(model, path)
+        model.save(df.sparkSession, path)
     return Trained(
         model,
-        {"train_accuracy": by_part.get(True), "test_accuracy": by_part.get(False), "test_roc_auc": auc},
+        {"train_accuracy": by_part.get(True), "test_accuracy": by_part.get(False), "test_roc_auc": auc, "passes": float(model.passes)},
         {
             "report": metrics.classification_report(test, target, "predicted"),
             "confusion": metrics.confusion_matrix(test, target, "predicted"),
@@ -270,7 +237,6 @@ def train_acceptance_predictor(
     )
 
 
-def predict_acceptance(df: DataFrame, model: PipelineModel | None = None, path: str = ACCEPTANCE_MODEL) -> DataFrame:
+def predict_acceptance(df: DataFrame, model: LogisticModel | None = None, path: str = ACCEPTANCE_MODEL) -> DataFrame:
     """``df`` with ``acceptance_probability``: the probability of class 1. Without a model the saved one is loaded."""
-    scored = model_or_load(model, path).transform(df)
-    return scored.withColumn("acceptance_probability", vector_to_array("_probability")[1]).drop("_probability")
+    return (LogisticModel.load(df.sparkSession, path) if model is None else model).transform(df)

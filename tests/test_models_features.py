@@ -10,7 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from jobweave.functions.vectors import norm
-from jobweave.operators import features, models, segments, terms
+from jobweave.operators import features, models, newton, segments, terms
+from jobweave.sources import models as saved
 
 
 @pytest.fixture(scope="module")
@@ -154,6 +155,36 @@ def test_acceptance_model_finds_the_planted_signal(spark):
         models.train_acceptance_predictor(frame.where("accepted_offer = 1"), "id")
 
 
+def test_acceptance_model_equals_a_plain_newton_fit(spark, new_dir):
+    rng = np.random.default_rng(9)
+    n = 500
+    x = np.column_stack([rng.random(n), rng.normal(3, 20, n), rng.integers(1, 15, n), rng.integers(0, 2, n)]).astype(float)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(4 * x[:, 0] + x[:, 1] / 10 - 3)))).astype(int)
+    rows = [(*map(float, a[:3]), int(a[3]), int(b)) for a, b in zip(x, y, strict=True)]
+    frame = spark.createDataFrame(rows, "match_score double, salary_diff_percentage double, candidate_experience_years double, is_remote int, accepted_offer int").repartition(3)
+    weights = {c: n / (2 * (y == c).sum()) for c in (0, 1)}
+    model = newton.fit_logistic(frame, "accepted_offer", models.ACCEPTANCE_NUMERIC, models.ACCEPTANCE_BINARY, weights, 1.0)
+    z = np.column_stack([(x[:, :3] - x[:, :3].mean(axis=0)) / x[:, :3].std(axis=0), x[:, 3], np.ones(n)])
+    w, beta = np.where(y == 1, weights[1], weights[0]), np.zeros(5)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ beta))
+        beta -= np.linalg.solve(np.eye(5) + (z * (w * p * (1 - p))[:, None]).T @ z, beta + z.T @ (w * (p - y)))
+    assert np.allclose([*model.coefficients, model.intercept], beta, atol=1e-8) and model.passes < 10
+    model.save(spark, new_dir + "/m")
+    assert newton.LogisticModel.load(spark, new_dir + "/m") == model
+    with pytest.raises(FileNotFoundError):
+        models.predict_acceptance(frame, path=new_dir + "/none")
+
+
+def test_pipelines_are_saved_and_loaded(spark, texts, new_dir):
+    embedder = features.fit_hashed_embedder(texts, "text", dim=16, stop_words=[])
+    path = saved.save_model(embedder, new_dir + "/embedder")
+    before, after = (features.embed_texts(texts, "text", saved.model_or_load(m, path)).orderBy("id").collect() for m in (embedder, None))
+    assert before == after
+    with pytest.raises(FileNotFoundError):
+        saved.load_model(new_dir + "/none")
+
+
 def test_clusters(spark, texts):
     rng = np.random.default_rng(0)
     points = [(i, [float(v) for v in rng.normal(size=4) + 8 * (i % 3)]) for i in range(60)]
