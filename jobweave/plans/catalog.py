@@ -222,6 +222,15 @@ def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 6).alias("length"))
 
 
+@register
+def embed_by_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained word vectors, averaged per document: dimension and length of each."""
+    docs = views.documents(spark, sf_dir)
+    model = features.fit_word_embedder(docs, "text", dim=64, stop_words=TEST_STOP_WORDS, partitions=8)
+    out = features.embed_by_words(docs, "doc_id", "text", model)
+    return out.select("doc_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 6).alias("length"))
+
+
 @register
 def hashed_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every component of every text's hashed vector."""

@@ -221,6 +221,33 @@ def test_assignment_to_centroids_breaks_ties_by_number(spark):
     assert got == {1: (0, 1.0), 2: (1, 1.0)}
 
 
+def test_word_vectors_know_planted_synonyms(spark):
+    """Two words that stand in the same places lie closer than words that do not; a repeated run gives the same vectors."""
+    rng = random.Random(6)
+    kinds = {"cook": ["kitchen", "menu", "oven", "sauce"], "sailor": ["ship", "harbour", "sail", "rope"], "clerk": ["desk", "paper", "stamp", "file"]}
+    rows = []
+    for i in range(900):
+        job = rng.choice(list(kinds))
+        name = rng.choice(["chef", "cook"]) if job == "cook" else job
+        words = [name, *rng.choices(kinds[job], k=5), name]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame([*rows, (1000, None), (1001, "unheard words"), (1002, "")], "id long, text string").repartition(3)
+    model = features.fit_word_embedder(frame, "text", dim=24, stop_words=[], iterations=8)
+    vectors = {r["word"]: np.array(r["vector"]) for r in model.words.collect()}
+    near = lambda a, b: float(vectors[a] @ vectors[b] / np.linalg.norm(vectors[a]) / np.linalg.norm(vectors[b]))
+    assert near("chef", "cook") > max(near("chef", w) for w in ("sailor", "clerk", "ship", "desk")) + 0.2
+    found = {r["id"]: r["embedding"] for r in features.embed_by_words(frame, "id", "text", model).collect()}
+    assert len(found) == 903 and all(len(v) == 24 for v in found.values()) and found[1000] == found[1001] == found[1002] == [0.0] * 24
+    assert all(np.linalg.norm(found[i]) == pytest.approx(1.0) for i in range(900))
+    idf = {r["word"]: r["idf"] for r in model.words.collect()}
+    words = rows[0][1].split()
+    mean = sum(idf[w] * vectors[w] for w in words)
+    assert np.allclose(found[0], mean / np.linalg.norm(mean), atol=1e-6)
+    again = features.fit_word_embedder(frame, "text", dim=24, stop_words=[], iterations=8)
+    assert all(np.allclose(vectors[r["word"]], r["vector"], atol=1e-6) for r in again.words.collect())
+
+
 def test_hashed_components_have_unit_length(spark, texts):
     rows = features.hashed_components(texts, "id", "text", dim=16, stop_words=[]).collect()
     length: dict = {}

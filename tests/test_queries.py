@@ -66,6 +66,11 @@ def test_runs_and_holds_its_invariants(spark, name):
         assert len(out) == jobs_without_label(spark)
     if name == "embed_texts":
         assert (out["dim"] == 384).all() and out["length"].isin([0.0, 1.0]).all()
+    if name == "embed_by_words":
+        assert (out["dim"] == 64).all() and out["length"].isin([0.0, 1.0]).all() and (out["length"] == 1.0).mean() > 0.9 and not out["doc_id"].duplicated().any()
+    if name == "match_pruning":
+        found = dict(zip(out["metric"], out["value"], strict=True))
+        assert 0 <= found["skipped_pairs"] <= 1 and found["scored_tiles"] <= found["tiles"]
     if "cluster" in out.columns:
         assert out["cluster"].nunique() <= 5 and not out["job_id"].duplicated().any()
     for column in ("acceptance_probability", "learned"):
