@@ -59,7 +59,8 @@ def chosen_grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     if len(data) < LENGTH:
         return none, none.astype(np.uint64), none, none
     hashes = gram_hashes(data)
-    shift = np.uint64(int(len(hashes)).bit_length())
+    # the same bits of a hash in slices of every size (texts beyond 64 MB apart), so that equal windows choose alike; ties go to the first gram
+    shift = np.uint64(max(26, int(len(hashes)).bit_length()))
     least = (hashes >> shift << shift) | np.arange(len(hashes), dtype=np.uint64)
     size = 1
     while size * 2 <= SPAN:
@@ -225,22 +226,29 @@ def repeated_grams(source: DataFrame, buckets: int) -> DataFrame:
     return gathered(dealt.groupBy("bucket").applyInArrow(count, PACKED), "places")
 
 
-def sampled_grams(source: DataFrame, docs: int, size: int) -> list[tuple[bytes, int]]:
-    """Chosen grams of about ``SAMPLE_DOCS`` documents, at most an eighth of the grams, with the number of sampled documents that hold each."""
+def sampled_grams(source: DataFrame, docs: int, size: int) -> tuple[list[bytes], list[bytes]]:
+    """Chosen grams of about ``SAMPLE_DOCS`` documents: a hashed eighth or less of them for the splitters, and all that are frequent.
+
+    Every gram of the sample is counted. A gram is frequent in more than a hundredth of the sampled documents, so there are at most a hundred
+    times as many as a document has.
+    """
     every = max(1, docs // SAMPLE_DOCS)
     share = max(8, int(2 * size / (SPAN + 1) / every / SAMPLE_GRAMS))
+    often = max(4, min(docs, SAMPLE_DOCS) // 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 data, _, row, place, mark, _, _ = slice_grams(part)
-                some = np.flatnonzero(mark % np.uint64(share) == 0)
-                some = some[np.unique(np.stack([row[some].astype(np.uint64), mark[some]]), axis=1, return_index=True)[1]]
+                each = np.unique(np.stack([row.astype(np.uint64), mark]), axis=1, return_index=True)[1] if len(row) else np.zeros(0, np.int64)
                 raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([raw[p : p + GRAM] for p in place[some].tolist()], pa.binary())], ["gram"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([raw[p : p + GRAM] for p in place[each].tolist()], pa.binary()), pa.array(mark[each] % np.uint64(share) == 0)], ["gram", "thin"]
+                )
 
-    sample = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInArrow(run, "gram binary")
-    return [(bytes(r["gram"]), r["n"]) for r in sample.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).collect()]
+    sample = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInArrow(run, "gram binary, thin boolean")
+    rows = sample.groupBy("gram", "thin").agg(F.count(F.lit(1)).alias("n")).where(F.col("thin") | (F.col("n") > often)).collect()
+    return [bytes(r["gram"]) for r in rows if r["thin"]], [bytes(r["gram"]) for r in rows if r["n"] > often]
 
 
 def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, frequent: np.ndarray, buckets: int) -> DataFrame:
@@ -398,11 +406,10 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wh
     total, size = source.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     buckets = max(partitions(docs.sparkSession), size // (8 << 20) + 1)
     places = written(repeated_grams(source, buckets), "repeated-grams")
-    sample = sampled_grams(source, total, size)
-    grams = np.sort(np.array([g for g, _ in sample], dtype=f"S{GRAM}"))
+    thin, often = sampled_grams(source, total, size)
+    grams = np.sort(np.array(thin, dtype=f"S{GRAM}"))
     splitters = np.unique(grams[np.linspace(0, len(grams) - 1, min(buckets, len(grams)) + 1).astype(int)[1:-1]]) if len(grams) else grams
-    held = min(total, SAMPLE_DOCS)
-    frequent = np.sort(np.array([g for g, n in sample if n > max(4, held // 100)], dtype=f"S{GRAM}"))
+    frequent = np.sort(np.array(often, dtype=f"S{GRAM}"))
     spans = marked_spans(source, places, splitters, frequent, buckets)
     return source.join(spans, "doc_id", "left").mapInArrow(lambda batches: cut_spans(batches, whole_characters), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 

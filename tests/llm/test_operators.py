@@ -35,14 +35,41 @@ def test_removed_bytes_of_frequent_grams(docs, texts, monkeypatch):
     cut = suffix_dedup.marked_spans
 
     def all_frequent(source, places, splitters, frequent, buckets):
-        grams = suffix_dedup.sampled_grams(source, 1, 1)
-        hot = suffix_dedup.np.sort(suffix_dedup.np.array([g for g, _ in grams], dtype=f"S{suffix_dedup.GRAM}"))
+        grams, _ = suffix_dedup.sampled_grams(source, 1, 1)
+        hot = suffix_dedup.np.sort(suffix_dedup.np.array(grams, dtype=f"S{suffix_dedup.GRAM}"))
         return cut(source, places, splitters, hot, buckets)
 
     monkeypatch.setattr(suffix_dedup, "marked_spans", all_frequent)
     assert by_id(suffix_dedup.removal_report(suffix_dedup.suffix_dedup(docs))) == brute.removed_bytes(texts)
 
 
+def test_every_frequent_gram_is_found(spark):
+    """A passage that half of the documents hold: all of its chosen grams are cut into stretches, not a hashed eighth of them."""
+    rng = random.Random(31)
+    passage = prose(rng, 40).replace("\n", " ")
+    rows = [(i, prose(rng, 30) + (" " + passage + " " if i % 2 else " ") + prose(rng, 10)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = suffix_dedup.keyed(frame, "doc_id", "text")
+    thin, often = suffix_dedup.sampled_grams(keyed, 60, sum(len(t) for _, t in rows))
+    inside = [g for g in often if g in passage.encode()]
+    assert len(inside) >= len(passage) // 61 - 1 and len(thin) < len(inside) * 60
+    assert by_id(suffix_dedup.removal_report(suffix_dedup.suffix_dedup(frame))) == brute.removed_bytes(rows)
+
+
+def test_windows_choose_alike_in_slices_of_every_size():
+    np = suffix_dedup.np
+    rng = random.Random(33)
+    window = prose(rng, 60).encode()[:300]
+    chosen = []
+    for size in (0, 5_000, 3_000_000):
+        data = np.frombuffer(b"x" * 200 + bytes(rng.choices(range(97, 122), k=size)) + window, np.uint8)
+        place, _, first, last = suffix_dedup.chosen_grams(data, np.array([0, len(data)]))
+        base = len(data) - len(window)
+        inside = first >= base
+        chosen.append(sorted(zip((place[inside] - base).tolist(), (last[inside] - base).tolist(), strict=True)))
+    assert chosen[0] == chosen[1] == chosen[2] and len(chosen[0]) > 3
+
+
 def test_removal_keeps_whole_characters(docs):
     kept = suffix_dedup.suffix_dedup(docs, whole_characters=True).collect()
     assert all(bytes(r["kept"]).decode("utf-8") is not None for r in kept)
