@@ -326,7 +326,7 @@ def match_all_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of the grid of tiles and pairs the bounds let the best matches skip."""
     left, right = views.matching_sides(spark, sf_dir)
-    _, report = matching.best_matches(left, right, 5)
+    _, report = matching.best_matches(left, right, 5, rows_per_cell=matching.ROWS_PER_CELL)
     return _metric_row(spark, vars(report) | {"skipped_tiles": 1 - report.scored_tiles / max(report.tiles, 1), "skipped_pairs": 1 - report.scored_pairs / max(report.pairs, 1)})
 
 
