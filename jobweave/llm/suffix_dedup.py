@@ -253,6 +253,8 @@ def sampled_grams(source: DataFrame, docs: int, size: int) -> tuple[list[bytes],
 
 def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, frequent: np.ndarray, buckets: int) -> DataFrame:
     """``doc_id, spans``: runs of removed bytes as packed int32 pairs of start and end; runs of a document may overlap."""
+    import zstandard
+
     shared = source.sparkSession.sparkContext.broadcast((splitters, frequent))
 
     def bucket_of(data: np.ndarray, raw: bytes, place: np.ndarray, least: np.ndarray, hot: np.ndarray, splits: np.ndarray) -> np.ndarray:
@@ -312,9 +314,10 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
         columns = (doc[rows], at[rows].astype(np.int32), lo.astype(np.int16), hi.astype(np.int16))
         sent: dict[int, list[bytes]] = {}
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
+        squeeze = zstandard.ZstdCompressor(level=1)
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True) if len(bucket) else ():
             body = b"".join([raw[s:e] for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)])
-            sent[int(bucket[a])] = [c[a:b].tobytes() for c in columns] + [body, b"", b"", b""]
+            sent[int(bucket[a])] = [c[a:b].tobytes() for c in columns] + [squeeze.compress(body), b"", b"", b""]
         for b, v in pack((mix(known[0].astype(np.uint64)) % np.uint64(buckets)).astype(np.int32), *known):
             sent.setdefault(b, [b""] * 8)[5:] = v
         if sent:
@@ -324,9 +327,10 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
             )
 
     def sort(table: pa.Table) -> pa.Table:
-        doc, at, least, most, body, known_doc, known_start, known_end = unpack(
-            table, ["doc", "at", "least", "most", "body", "known_doc", "known_start", "known_end"], ["i8", "i4", "i2", "i2", "u1", "i8", "i4", "i4"]
+        doc, at, least, most, known_doc, known_start, known_end = unpack(
+            table, ["doc", "at", "least", "most", "known_doc", "known_start", "known_end"], ["i8", "i4", "i2", "i2", "i8", "i4", "i4"]
         )
+        body = np.frombuffer(b"".join([zstandard.decompress(x) for x in table.column("body").to_pylist() if x]), np.uint8)
         least, most = least.astype(np.int64), most.astype(np.int64)
         sizes = most - least + LENGTH
         place = np.cumsum(sizes) - sizes + most
