@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from jobweave.functions.vectors import norm
-from jobweave.operators import features, models, newton, segments, terms
+from jobweave.operators import features, models, newton, segments, slices, terms
 from jobweave.sources import models as saved
 
 
@@ -53,6 +53,26 @@ def test_model_tfidf_equals_long_form(spark, texts):
         assert vectors[r["id"]][names.index(r["term"])] == pytest.approx(r["tfidf"])
 
 
+def test_terms_meet_their_weights_by_slices(spark, monkeypatch):
+    """Rows of one id count as one text, however texts are sliced, and no row of a text and term is shuffled."""
+    rows = [(i % 40 if i % 7 else None, " ".join(f"w{(i * j) % 23}" for j in range(i % 9))) for i in range(120)]
+    frame = spark.createDataFrame([*rows, (41, None)], "id int, t string")
+    plain: dict = {}
+    for i, t in rows:
+        words = t.split()
+        for term in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]:
+            plain[i, term] = plain.get((i, term), 0) + 1
+    monkeypatch.setattr(slices, "SLICE_BYTES", 200)
+    out = terms.tfidf(frame, "id", "t", [], bigrams=True)
+    got = out.collect()
+    assert {(r["id"], r["term"]): r["tf"] for r in got} == plain and len(got) == len(plain)
+    for i in {i for i, _ in rows}:
+        own = [r["tfidf"] for r in got if r["id"] == i]
+        assert not own or math.hypot(*own) == pytest.approx(1.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id#" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
 def test_cluster_without_terms_is_marked(spark):
     frame = spark.createDataFrame([(1, "aa bb aa", 0), (2, "the", 1)], "id int, t string, c int")
     rows = {(r["c"], r["rank"]): r["term"] for r in terms.cluster_top_terms(frame, "id", "t", "c", 2, stop_words=["the"], bigrams=False).collect()}
