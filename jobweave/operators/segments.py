@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from jobweave.functions.vectors import as_doubles
 from jobweave.operators.models import fit_tfidf_stages
+from jobweave.session import written
 
 
 def _at_most(df: DataFrame, k: int) -> int:
@@ -55,12 +56,13 @@ def cluster_jobs(
         head, scratch = fit_tfidf_stages(
             prepared, column, "features", stop_words, bigrams=False, vocab_size=1000, min_df=5, max_df=0.7
         )
-    features = head.transform(prepared)
+    # written once: every pass of the fit, and all that is done with the segments, reads vectors and not texts
+    features = written(head.transform(prepared).drop(*scratch), "cluster-features")
     means = KMeans(k=clusters, seed=seed, featuresCol="features", predictionCol="cluster", **kmeans)
     fitted = means.fit(features)
     # Already fitted stages pass through; nothing is fitted twice.
     model = PipelineModel(stages=[*head.stages, fitted])
-    labelled = fitted.transform(features).drop(*scratch)
+    labelled = fitted.transform(features)
     return model, labelled if without is None else labelled.unionByName(without, allowMissingColumns=True)
 
 

@@ -12,7 +12,7 @@ from jobweave.functions.vectors import norm
 from jobweave.operators import features, matching, metrics, models, recommend, segments, skill_join, splits, tagging, terms, trends
 from jobweave.plans import views
 from jobweave.plans.views import TEST_SKILLS, TEST_STOP_WORDS, table
-from jobweave.session import new_scratch_path
+from jobweave.session import new_scratch_path, written
 from jobweave.sources import postings as posting_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,11 +426,11 @@ def predict_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _clustered(spark: SparkSession, sf_dir: str, feature_type: str) -> DataFrame:
     """All jobs; their texts are embedded, so that no job lacks a vector."""
     column = "embedding" if feature_type == "embeddings" else "description"
-    rows = views.jobs(spark, sf_dir).withColumn("description", F.coalesce("description", F.lit("")))
+    rows = views.jobs(spark, sf_dir).select("job_id", F.coalesce("description", F.lit("")).alias("description"))
     if feature_type == "embeddings":
-        cleaned = rows.drop("embedding").withColumn("cleaned", text.clean_text(F.col("description")))
+        cleaned = rows.select("job_id", text.clean_text(F.col("description")).alias("cleaned"))
         model = features.fit_hashed_embedder(cleaned, "cleaned", dim=64, stop_words=TEST_STOP_WORDS)
-        rows = features.embed_texts(cleaned, "cleaned", model)
+        rows = written(features.embed_texts(cleaned, "cleaned", model).select("job_id", "embedding"), "job-vectors")
     _, out = segments.cluster_jobs(rows, column, 5, feature_type, stop_words=TEST_STOP_WORDS)
     return out
 
