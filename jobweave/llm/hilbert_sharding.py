@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SUB_BUCKETS = 1 << 12
-#: Rows that the levels of a size are taken from, about.
-SAMPLE_ROWS = 16_384
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -83,11 +81,12 @@ def hashed_level(value: Column, bits: int) -> Column:
 
 
 def size_cuts(rows: DataFrame, column: str, ties: Sequence[str], bits: int) -> list[float]:
-    """Upper ends of all levels of a number but the last: its quantiles in a sample of about ``SAMPLE_ROWS`` rows at most, chosen by a hash of ``ties``."""
+    """Upper ends of all levels of a number but the last: its quantiles over all rows. Tasks hand on a count per distinct number.
+
+    All rows count, so ``ties``, which a choice of rows would go by, are not read.
+    """
     levels = 1 << bits
-    share = min(1.0, SAMPLE_ROWS / max(1, rows.count()))
-    some = rows.where(F.pmod(F.xxhash64(*ties), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = some.agg(F.percentile(column, F.array(*[F.lit(n / levels) for n in range(1, levels)])).alias("q")).first()["q"]
+    found = rows.agg(F.percentile(column, F.array(*[F.lit(n / levels) for n in range(1, levels)])).alias("q")).first()["q"]
     return sorted(set(found or []))
 
 

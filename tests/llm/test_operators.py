@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SF_DIR
@@ -221,6 +222,13 @@ def check_shards(rows):
     assert max(counts) - min(counts) <= 1
 
 
+def test_size_cuts_come_from_all_rows(spark):
+    """Exact quantiles of far more rows than a sample of them would hold."""
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") * F.col("id")).alias("size"))
+    want = np.percentile(np.arange(40_000, dtype=float) ** 2, [100 * n / 32 for n in range(1, 32)])
+    assert hilbert_sharding.size_cuts(rows, "size", ["doc_id"], 5) == pytest.approx(list(want))
+
+
 def test_shards_follow_the_curve_and_prune_files(spark, new_dir):
     """A plain sort by curve index gives the same order, and a filter on language and size meets few of the written files."""
     import pyarrow.dataset as ds
