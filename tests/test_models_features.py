@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from jobweave.functions.vectors import norm
@@ -278,3 +278,21 @@ def test_hashed_components_have_unit_length(spark, texts):
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "aa bb"), (3, "aa bb")], "id int, text string")
     assert {r["id"] for r in features.hashed_components(odd, "id", "text").collect()} <= {3}
     assert features.hashed_components(odd.limit(0), "id", "text").count() == 0
+
+
+def test_word_means_meet_each_word_once_per_slice(spark, monkeypatch):
+    """Many slices give the means of brute force, and no row per word of a text is made for the join."""
+    monkeypatch.setattr("jobweave.operators.slices.SLICE_BYTES", 400)
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choices(["pear", "plum", "fig", "kiwi", "lime"], k=rng.randint(1, 30)))) for i in range(60)]
+    plain = [(w, [rng.random() - 0.5 for _ in range(3)], 1.0 + i) for i, w in enumerate(["pear", "plum", "fig", "kiwi"])]
+    words = spark.createDataFrame(plain, "word string, v array<double>, idf double").select("word", array_to_vector("v").alias("vector"), "idf")
+    frame = spark.createDataFrame([*rows, (60, None)], "id long, text string")
+    out = features.embed_by_words(frame, "id", "text", features.WordEmbedder(words, 3, []))
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    known = {r["word"]: r["idf"] * np.array(r["vector"]) for r in words.collect()}
+    found = {r["id"]: r["embedding"] for r in out.collect()}
+    assert len(found) == 61 and found[60] == [0.0] * 3
+    for i, body in rows:
+        mean = sum((known.get(w, np.zeros(3)) for w in body.split()), np.zeros(3))
+        assert np.allclose(found[i], mean / (np.linalg.norm(mean) or 1.0), atol=1e-6)
