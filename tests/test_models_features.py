@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -296,3 +298,24 @@ def test_word_means_meet_each_word_once_per_slice(spark, monkeypatch):
     for i, body in rows:
         mean = sum((known.get(w, np.zeros(3)) for w in body.split()), np.zeros(3))
         assert np.allclose(found[i], mean / (np.linalg.norm(mean) or 1.0), atol=1e-6)
+
+
+def test_hashed_components_are_counted_by_slice(spark, monkeypatch):
+    """Many slices give the components of brute force, and no row per word of a text is made."""
+    monkeypatch.setattr("jobweave.operators.slices.SLICE_BYTES", 300)
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(["pear", "plum", "fig", "kiwi", "lime", "été"], k=rng.randint(0, 20)))) for i in range(50)]
+    frame = spark.createDataFrame(rows, "id long, text string")
+    out = features.hashed_components(frame, "id", "text", dim=7, stop_words=["fig"])
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    counts = {i: Counter(int(hashlib.md5(w.encode()).hexdigest()[:15], 16) % 7 for w in body.split() if w != "fig") for i, body in rows}
+    held = Counter(slot for own in counts.values() for slot in own)
+    wanted = {}
+    for i, own in counts.items():
+        raw = {slot: n * math.log(51 / (held[slot] + 1)) for slot, n in own.items()}
+        length = math.sqrt(sum(v * v for v in raw.values()))
+        wanted |= {(i, slot): v / length for slot, v in raw.items() if v}
+    found = {(r["id"], r["slot"]): r["value"] for r in out.collect()}
+    assert found == pytest.approx(wanted)
+    dense = {r["id"]: r["embedding"] for r in features.hashed_vectors(frame, "id", "text", dim=7, stop_words=["fig"]).collect()}
+    assert {(i, slot): v for i, own in dense.items() for slot, v in enumerate(own) if v} == pytest.approx(wanted)
