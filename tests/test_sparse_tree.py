@@ -125,3 +125,15 @@ def test_a_split_is_worth_nothing_where_all_texts_are_alike(spark):
     frame = spark.createDataFrame([(i, "same words here", "ab"[i % 2]) for i in range(40)], "id long, text string, topic string")
     trained = models.train_job_classifier(frame, "id", "text", "topic", stop_words=[])
     assert trained.model.tree.right == [-1]
+
+
+def test_slices_and_buckets_do_not_change_the_tree(spark, monkeypatch):
+    """Terms are counted by slices of texts and judged by buckets of terms: many of both give the same tree and the same classes."""
+    frame = spark.createDataFrame(rows(), "id long, text string, topic string").withColumn("is_train", F.col("id") % 4 != 0)
+    found = []
+    for slice_bytes, bucket in ((1 << 23, 1 << 21), (500, 40)):
+        monkeypatch.setattr("jobweave.operators.slices.SLICE_BYTES", slice_bytes)
+        monkeypatch.setattr(sparse_tree, "BUCKET", bucket)
+        model, scored = sparse_tree.fit_text_tree(frame, "id", "text", "topic", "is_train", [], 4)
+        found.append((vars(model.tree), sorted(map(tuple, scored.collect()))))
+    assert found[0] == found[1] and len(found[0][0]["number"]) > 3
