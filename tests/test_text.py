@@ -3,10 +3,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from jobweave.functions import fixed, rules, text
 from jobweave.operators import tagging, terms
+from jobweave.plans.catalog import QUERIES
 from jobweave.plans.views import literal_rows
 
 
@@ -107,6 +109,53 @@ def test_entities_keep_every_label_and_text_order(spark):
     assert all(v == [] for i in (2, 3) for v in got[i].values())
 
 
+ODD_TEXTS = [
+    "Ada met  Bob in New York, new york city; newyork new  york", "é ada ada's _ada ada_ ada-ada", "", None, "at&t at&t2 at &t", "NEW\nYORK new york",
+    "a.b (a.b) a\\b x*y 2nd 𝔸da ʼn ada", "york new york new york city york",
+]
+ODD_GAZETTEER = [
+    ("PERSON", "Ada"), ("PERSON", "ada"), ("ORG", "ADA"), ("GPE", "new york"), ("GPE", "New York City"), ("LOC", "york"), ("GPE", "york"), ("ORG", "new"),
+    ("ORG", "at&t"), ("ORG", "a.b"), ("ORG", "a\\b"), ("DATE", "2nd"), ("DATE", "x*y"), ("PERSON", "𝔸da"), ("LOC", ""), ("LOC", None), ("LOC", "(a"), ("X", "met"),
+]
+
+
+def test_entities_by_pattern_and_by_join_are_the_same(spark, monkeypatch):
+    texts = spark.createDataFrame([*enumerate(ODD_TEXTS), (None, "ada in new york")], "id int, t string")
+    gazetteer = spark.createDataFrame(ODD_GAZETTEER, "label string, phrase string")
+    vocabulary = gazetteer.select("phrase")
+
+    def results(phrases):
+        tagged = sorted((r["id"] is None, r["id"] or 0, sorted(r["entities"].items())) for r in tagging.tag_entities(texts, "id", "t", phrases).collect())
+        record = sorted((r["id"], sorted(r["entities"].items())) for r in tagging.preprocess_with_entities(texts, "id", "t", phrases).collect())
+        skills = sorted((str(r["id"]), r["skill"]) for r in tagging.match_vocabulary(texts, "id", "t", phrases, "phrase").collect())
+        return tagged, record, skills
+
+    by_pattern = results(gazetteer)
+    assert tagging._pattern_rows(vocabulary, "phrase") is not None
+    first = dict(by_pattern[0][0][2])
+    assert first["GPE"] == ["new york", "york", "new york", "new york city", "york", "york"] and first["PERSON"] == ["ada", "ada"] and first["ORG"][:2] == ["ada", "new"]
+    monkeypatch.setattr(tagging, "PATTERN_PHRASES", 0)
+    assert tagging._pattern_rows(vocabulary, "phrase") is None
+    assert results(gazetteer) == by_pattern
+
+
+def test_phrases_for_no_pattern_are_joined(spark):
+    """A phrase that ends in a symbol, a very long one, a large table."""
+    assert tagging._pattern_rows(literal_rows(spark, ("p",), [("c++",), ("java",)]), "p") is None
+    assert tagging._pattern_rows(literal_rows(spark, ("p",), [("a" * (tagging.PATTERN_CHARS + 1),)]), "p") is None
+    many = spark.range(tagging.PATTERN_PHRASES + 1).select(F.concat(F.lit("w"), F.col("id")).alias("p"))
+    assert tagging._pattern_rows(many, "p") is None and len(tagging._pattern_rows(many.limit(9), "p")) == 9
+    texts = spark.createDataFrame([(1, "java and w7 c++")], "id int, t string")
+    assert {r["skill"] for r in tagging.match_vocabulary(texts, "id", "t", many, "p").collect()} == {"w7"}
+
+
+@pytest.mark.parametrize("name, searches", [("tag_entities", 1), ("preprocess_with_entities", 4), ("match_vocabulary", 1)])
+def test_texts_are_searched_once_for_a_small_table(spark, name, searches):
+    """One pattern search of each text, no row for each run of words."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == searches and "_gram" not in plan and "Join" not in plan
+
+
 def test_preprocess_record_of_a_null_text(spark):
     frame = spark.createDataFrame([(1, None), (2, "Knows Python. a@b.io")], "id int, t string")
     gazetteer = literal_rows(spark, ("label", "phrase"), [("PRODUCT", "python")])
