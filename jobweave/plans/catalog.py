@@ -102,7 +102,8 @@ def extract_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = views.documents(spark, sf_dir).select("doc_id", text.clean_text(F.col("text")).alias("cleaned_text"))
     tagged = tagging.tag_entities(docs, "doc_id", "cleaned_text", views.gazetteer(spark, sf_dir))
-    rows = tagged.select("doc_id", F.explode("entities").alias("label", "mentions"))
+    # Every label is there; the outer form spares the texts a second search by a filter on the map's size.
+    rows = tagged.select("doc_id", F.explode_outer("entities").alias("label", "mentions"))
     return rows.select("doc_id", "label", listed("mentions"))
 
 
