@@ -139,6 +139,15 @@ def test_entities_by_pattern_and_by_join_are_the_same(spark, monkeypatch):
     assert results(gazetteer) == by_pattern
 
 
+def test_texts_of_one_id_share_their_mentions(spark):
+    """As in the SQL: one row for each text, with the mentions of all texts of its id, by place and phrase."""
+    texts = spark.createDataFrame([(1, "ada met bob"), (1, "bob"), (2, "ada")], "id int, t string")
+    gazetteer = literal_rows(spark, ("label", "phrase"), [("PERSON", "bob"), ("PERSON", "ada")])
+    for frame in (tagging.tag_entities(texts, "id", "t", gazetteer), tagging.preprocess_with_entities(texts, "id", "t", gazetteer)):
+        got = sorted((r["id"], r["entities"]["PERSON"]) for r in frame.collect())
+        assert got == [(1, ["ada", "bob", "bob"]), (1, ["ada", "bob", "bob"]), (2, ["ada"])]
+
+
 def test_phrases_for_no_pattern_are_joined(spark):
     """A phrase that ends in a symbol, a very long one, a large table."""
     assert tagging._pattern_rows(literal_rows(spark, ("p",), [("c++",), ("java",)]), "p") is None
