@@ -57,11 +57,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated strings; ``n_chars`` follows the text."""
-    keyed, shared = _keyed(docs)
-    cut = suffix_dedup.suffix_dedup(keyed, id_col=KEY, whole_characters=True, one_text=True)
-    left = _keys(cut).select(KEY, F.col("kept").cast("string").alias("text")).where(F.col("text").rlike(r"\S"))
-    rest = keyed.drop("text").join(left.dropDuplicates([KEY]) if shared else left, KEY)
-    return rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    keyed, _ = _keyed(docs)
+    others = [c for c in docs.columns if c != "text"]
+    cut = suffix_dedup.suffix_dedup(keyed, id_col=KEY, whole_characters=True, one_text=True, keep=others)
+    left = cut.select(F.col("kept").cast("string").alias("text"), *[F.col(f"keep_{c}").alias(c) for c in others]).where(F.col("text").rlike(r"\S"))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

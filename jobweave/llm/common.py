@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobweave.session import new_scratch_path
+from jobweave.session import swept, written as written
 
 NULL_ID = -(1 << 63)
 SLICE_BYTES = 4 << 20
@@ -86,7 +86,8 @@ def row_keys(docs: DataFrame, id_col: str, text: str, key: str) -> tuple[DataFra
     named = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)))
     hashed = named.select(key, F.xxhash64(body).alias("x"), F.xxhash64(F.lit(1), body).alias("y"))
     each = hashed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}{i}") for c in "xy" for i, f in enumerate((F.min, F.max))])
-    shared, mixed = each.agg(F.coalesce(F.max("n"), F.lit(0)) > 1, F.coalesce(F.max((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))), F.lit(False))).first()
+    with swept(docs.sparkSession):
+        shared, mixed = each.agg(F.coalesce(F.max("n"), F.lit(0)) > 1, F.coalesce(F.max((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))), F.lit(False))).first()
     if not mixed:
         return named, shared
     named = named.withColumnRenamed(key, "_row_id").withColumn("_row_digest", F.sha2(body, 256))
@@ -107,14 +108,6 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: lineage ends there, and any executor can read it."""
-    spark = frame.sparkSession
-    path = new_scratch_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def pack(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
     """Rows given as equally long arrays, as one run of bytes per column and bucket."""
     if not len(bucket):
@@ -205,9 +198,10 @@ BITS = 1 << 26
 def bitmap(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
     """The bits of the 64-bit numbers of a column ``h``. Every task sends what it has of a table of fixed size."""
     place = F.pmod("h", F.lit(bits))
-    parts = hashes.groupBy(F.floor(place / F.lit(32768)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits"))
+    with swept(hashes.sparkSession):
+        parts = hashes.groupBy(F.floor(place / F.lit(32768)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits")).collect()
     out = np.zeros((bits // 32768, 4096), np.uint8)
-    for r in parts.collect():
+    for r in parts:
         out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out.ravel()
 

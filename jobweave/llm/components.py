@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.llm.common import written
+from jobweave.session import swept
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -39,4 +40,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def _seal(edges: DataFrame) -> tuple:
     """Number of edges and sums over four parts of their hashes: equal for equal edge sets. A part has 16 bits, so no sum of fewer than 2^47 edges overflows."""
     mixed = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count(F.lit(1)), *[F.sum(F.shiftright(mixed, n).bitwiseAND(F.lit(0xFFFF))) for n in (0, 16, 32, 48)]).first())
+    with swept(edges.sparkSession):
+        return tuple(edges.agg(F.count(F.lit(1)), *[F.sum(F.shiftright(mixed, n).bitwiseAND(F.lit(0xFFFF))) for n in (0, 16, 32, 48)]).first())

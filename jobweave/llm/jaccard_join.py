@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobweave.llm.common import (
-    LOWER, NULL_ID, bitmap, filled, ids, is_set, keyed, mix, pack, packed, partitions, real_id, slices, text_buffer, unpack, unpacked, word_hashes, words_of, written,
+    LOWER, NULL_ID, SLICE_BYTES, bitmap, filled, ids, is_set, keyed, mix, pack, packed, partitions, real_id, slices, text_buffer, unpack, unpacked, word_hashes, words_of, written,
 )
 from jobweave.llm.components import connected_components
 
@@ -36,6 +37,8 @@ LIGHT = 2
 #: Shingles that one tile of a large component holds at most.
 TILE = 2_000_000
 NODE = 32
+#: Bytes of text whose shingles are dealt together, about.
+PART = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -208,45 +211,75 @@ def rtree_links(
 
 
 def shared_shingles(source: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
-    """``doc_id, n_shared``: how many shingles of a document occur in other rows as well, or a few more, as 40 bits stand for a shingle of a range."""
+    """``doc_id, n_shared``: how many shingles of a document occur in other rows as well, or a few more, as 40 bits stand for a shingle of a range.
+
+    The rows of a part (``PART`` bytes of text, about) are known by their number in it, and its ids move once, however many ranges its shingles
+    are dealt to: what a shingle takes does not grow with the number of ranges.
+    """
+    names = ["bucket", "part", "shingles", "rows", "docs"]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+
+    def rows_of(found: list[tuple]) -> list[pa.Array]:
+        return [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+
+    def send(number: int, sets: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        tokens, sizes, doc = (np.concatenate(c) for c in zip(*sets, strict=True))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        short = tokens & np.uint64((1 << 40) - 1)
+        order = np.lexsort((short, place))
+        place, short, row = place[order], short[order], row[order]
+        cuts = np.searchsorted(place, np.arange(buckets + 1)).tolist()
+        found = [(number % buckets, number, None, None, packed(doc.view(np.uint64)))]
+        found += [(b, number, packed(np.diff(short[x:y], prepend=np.uint64(0))), packed(row[x:y]), None) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y]
+        return pa.RecordBatch.from_arrays(rows_of(found), names)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, sets, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, sizes = document_sets(part, rule.words)
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                place = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                short = tokens & np.uint64((1 << 40) - 1)
-                order = np.lexsort((short, place))
-                place, short, row = place[order], short[order], row[order]
-                cuts = np.searchsorted(place, np.arange(buckets + 1)).tolist()
-                doc, found = ids(part.column("doc_id")), []
-                for bucket, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if x < y:
-                        own, number = np.unique(row[x:y], return_inverse=True)
-                        found.append((bucket, packed(np.diff(short[x:y], prepend=np.uint64(0))), packed(number.ravel()), packed(doc[own].view(np.uint64))))
-                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), *(pa.array([f[i] for f in found], pa.binary()) for i in (1, 2, 3))], ["bucket", "shingles", "rows", "docs"])
+                sets.append((tokens, sizes, ids(part.column("doc_id"))))
+                held += SLICE_BYTES
+                if held >= PART:
+                    yield send(number, sets)
+                    number, sets, held = number + 1, [], 0
+        if sets:
+            yield send(number, sets)
 
     def count(table: pa.Table) -> pa.Table:
-        short = [np.cumsum(unpacked(b)) for b in table.column("shingles").to_pylist()]
-        docs = [unpacked(b) for b in table.column("docs").to_pylist()]
-        first = np.cumsum([0, *map(len, docs)])
-        row = np.concatenate([unpacked(b).astype(np.int64) + at for b, at in zip(table.column("rows").to_pylist(), first.tolist(), strict=False)])
-        _, group, n = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
-        shared = np.bincount(row[n[group.ravel()] > 1], minlength=int(first[-1]))
-        doc, inverse = np.unique(np.concatenate(docs)[shared > 0].view(np.int64), return_inverse=True)
-        total = np.bincount(inverse.ravel(), shared[shared > 0], len(doc)).astype(np.uint64)
-        out = list(pack((mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32), doc, total))
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "doc": pa.array([packed(np.frombuffer(v[0], np.uint64)) for _, v in out], pa.binary()), "n": pa.array([packed(np.frombuffer(v[1], np.uint64)) for _, v in out], pa.binary())})
+        rows = list(zip(*(table.column(c).to_pylist() for c in names[1:]), strict=True))
+        given = [(part % buckets, part, None, None, docs) for part, _, _, docs in rows if docs is not None]
+        sent = [(part, np.cumsum(unpacked(s)), unpacked(r).astype(np.int64)) for part, s, r, _ in rows if s is not None]
+        if sent:
+            _, group, n = np.unique(np.concatenate([s for _, s, _ in sent]), return_inverse=True, return_counts=True)
+            twice = np.split(n[group.ravel()] > 1, np.cumsum([len(s) for _, s, _ in sent])[:-1])
+            for (part, _, row), often in zip(sent, twice, strict=True):
+                own, times = np.unique(row[often], return_counts=True)
+                if len(own):
+                    given.append((part % buckets, part, packed(times), packed(np.diff(own, prepend=0)), None))
+        return pa.Table.from_arrays(rows_of(given), names=names)
 
     def add(table: pa.Table) -> pa.Table:
-        doc, n = (np.concatenate([unpacked(b) for b in table.column(c).to_pylist()]) for c in ("doc", "n"))
-        doc, inverse = np.unique(doc.view(np.int64), return_inverse=True)
-        return pa.table({"doc_id": pa.array(doc), "n_shared": pa.array(np.bincount(inverse.ravel(), n, len(doc)).astype(np.int64))})
-
-    dealt = source.mapInArrow(deal, "bucket int, shingles binary, rows binary, docs binary")
-    counted = dealt.groupBy("bucket").applyInArrow(count, "bucket int, doc binary, n binary")
-    return counted.groupBy("bucket").applyInArrow(add, "doc_id long, n_shared long")
+        docs: dict[int, np.ndarray] = {}
+        sums: dict[int, list] = {}
+        for part, times, rows, doc in zip(*(table.column(c).to_pylist() for c in names[1:]), strict=True):
+            if doc is not None:
+                docs[part] = unpacked(doc).view(np.int64)
+            else:
+                sums.setdefault(part, []).append((np.cumsum(unpacked(rows).astype(np.int64)), unpacked(times)))
+        found = []
+        for part, each in sums.items():
+            total = np.zeros(len(docs[part]), np.int64)
+            for row, times in each:
+                total[row] += times.astype(np.int64)
+            found.append((docs[part][total > 0], total[total > 0]))
+        doc, n = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+        return pa.table({"doc_id": pa.array(doc), "n_shared": pa.array(n)})
+
+    kind = "bucket int, part long, shingles binary, rows binary, docs binary"
+    counted = source.mapInArrow(deal, kind).groupBy("bucket").applyInArrow(count, kind)
+    return counted.groupBy("bucket").applyInArrow(add, "doc_id long, n_shared long").groupBy("doc_id").agg(F.sum("n_shared").alias("n_shared"))
 
 
 def candidate_edges(source: DataFrame, buckets: int, rule: Rule = RULE, staying: np.ndarray | None = None) -> DataFrame:
@@ -352,8 +385,13 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return pairs[0], pairs[1]
 
 
-def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int, rule: Rule = RULE) -> DataFrame:
-    """Links ``a, b`` between the candidates (``doc_id, part, tile, tiles``) that join all linked documents."""
+def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int, rule: Rule = RULE, staying: np.ndarray | None = None) -> DataFrame:
+    """Links ``a, b`` between the candidates (``doc_id, part, tile, tiles``) that join all linked documents; their bits in ``staying`` are set."""
+    shared = None if staying is None else source.sparkSession.sparkContext.broadcast(staying)
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(is_set(shared.value, mix(ids(batch.column("doc_id"))))))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,6 +430,9 @@ def verified_edges(source: DataFrame, candidates: DataFrame, buckets: int, rule:
                 b.append(int(doc[rows[j]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    if shared is not None:
+        # texts that are no candidates do not move
+        source = source.mapInArrow(stay, source.schema)
     # the hint keeps the plan the same at every size
     sets = source.join(candidates.hint("merge"), "doc_id").mapInArrow(gather, "doc_id long, part long, tile int, tiles int, tokens binary")
     paired = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
@@ -456,7 +497,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     candidates = weighed.join(heavy, "label").select(
         "doc_id", F.col("label").alias("part"), F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"), "tiles"
     )
-    labels = connected_components(verified_edges(source, candidates, buckets, rule))
+    labels = connected_components(verified_edges(source, candidates, buckets, rule, bitmap(mixed_ids(weighed))))
     return members.join(labels, F.col("head") == F.col("node"), "left").select(
         real_id().alias("doc_id"), "n_shingles", F.when(F.coalesce("label", "head") != NULL_ID, F.coalesce("label", "head")).alias("component_id")
     )

@@ -18,12 +18,13 @@ enough to sort the suffixes that start at chosen grams, each with the stretch of
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from jobweave.llm.common import (
     byte_codes, filled, id_array, ids, keyed, mix, pack, partitions, row_keys, slices, text_buffer, unpack, written,
@@ -353,15 +354,15 @@ def marked_spans(source: DataFrame, places: DataFrame, splitters: np.ndarray, fr
         pairs = np.stack([np.concatenate(starts), np.concatenate(ends)], axis=1).astype(np.int32)
         return by_document(np.concatenate(owners), pairs, buckets)
 
-    with_places = source.select("doc_id", "text").join(places, "doc_id")
+    with_places = source.join(places, "doc_id")
     dealt = with_places.mapInArrow(
         deal, "bucket int, doc binary, at binary, least binary, most binary, body binary, known_doc binary, known_start binary, known_end binary"
     )
     return gathered(dealt.groupBy("bucket").applyInArrow(sort, PACKED), "spans")
 
 
-def cut_spans(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
-    """Merges each document's spans and cuts them out of its bytes, or out of its characters where all bytes are covered."""
+def cut_spans(batches: Iterator[pa.RecordBatch], whole_characters: bool, keep: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
+    """Merges each document's spans and cuts them out of its bytes, or out of its characters where all bytes are covered. The columns ``keep`` follow as they are."""
     for batch in batches:
         for part in slices(batch, "text"):
             data, bounds = text_buffer(filled(part.column("text")))
@@ -389,13 +390,13 @@ def cut_spans(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iter
                     kept.append(raw[a:b])
             yield pa.RecordBatch.from_arrays(
                 [id_array(ids(part.column("own_id"))), pa.array(np.diff(bounds), pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                ["doc_id", "n_bytes", "spans", "kept"],
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()), *(part.column(f"keep_{c}") for c in keep)],
+                ["doc_id", "n_bytes", "spans", "kept", *(f"keep_{c}" for c in keep)],
             )
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", whole_characters: bool = False, one_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept`` for every document.
+def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", whole_characters: bool = False, one_text: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept`` for every document, and ``keep_c`` for each column c of ``keep``, which spares a join.
 
     ``spans`` are the maximal runs of bytes covered by a ``LENGTH``-byte string that also starts earlier (in a smaller id, or before in
     the same document); ``kept`` is what is left. With ``whole_characters`` a character goes only if all of its bytes are covered, so that
@@ -404,7 +405,9 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wh
     Different texts of one id are documents of their own, in the order of their SHA-256. ``one_text`` says that no id has two texts, so
     that this is not looked for. Other columns are not read.
     """
-    source = keyed(docs.withColumn("text", F.col(text).cast("string")), id_col, "text").withColumn("own_id", F.col("doc_id"))
+    others = [F.col(c).alias(f"keep_{c}") for c in keep]
+    docs = docs.select(F.col(id_col).alias("own_id"), F.col(text).cast("string").alias("text"), *others)
+    source = keyed(docs, "own_id", "text", *(f"keep_{c}" for c in keep)).withColumn("own_id", F.col("doc_id"))
     if not one_text:
         source = row_keys(source.drop("doc_id"), "own_id", "text", "doc_id")[0]
     total, size = source.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
@@ -415,7 +418,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wh
     splitters = np.unique(grams[np.linspace(0, len(grams) - 1, min(buckets, len(grams)) + 1).astype(int)[1:-1]]) if len(grams) else grams
     frequent = np.sort(np.array(often, dtype=f"S{GRAM}"))
     spans = marked_spans(source, places, splitters, frequent, buckets)
-    return source.join(spans, "doc_id", "left").mapInArrow(lambda batches: cut_spans(batches, whole_characters), "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    # the texts are dealt by their id once, for this join and for that with the places
+    schema = StructType.fromDDL("doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    for c in keep:
+        schema.add(f"keep_{c}", source.schema[f"keep_{c}"].dataType)
+    return source.join(spans, "doc_id", "left").mapInArrow(lambda batches: cut_spans(batches, whole_characters, keep), schema)
 
 
 def removal_report(cut: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from jobweave.llm import components, decontamination, hilbert_sharding, html_density, jaccard_join, line_crf, ppm_language, suffix_dedup, token_counts, warc_derivatives, word_bpe
+from jobweave.llm.common import slices
 from jobweave.llm.components import connected_components
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -445,6 +447,24 @@ def test_components(docs, texts, odd_docs, no_docs):
     assert jaccard_join.jaccard_components(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("part", [1, 1 << 30])
+def test_shared_shingles_of_many_ranges_and_parts(spark, monkeypatch, part):
+    """Rows of one id add up, whatever part they are in, and however many ranges there are for a part."""
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    monkeypatch.setattr(jaccard_join, "slices", lambda batch, column: slices(batch, column, 2000))
+    rng = random.Random(3)
+    texts = [prose(rng, rng.choice([0, 1, 30, 200])) for _ in range(60)]
+    rows = [(n % 70, t) for n, t in enumerate([*texts, *texts[:20], "odd one out"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = [(i, brute.shingles(t)) for i, t in rows]
+    times = Counter(s for _, own in held for s in own)
+    want = Counter()
+    for i, own in held:
+        want[i] += sum(times[s] > 1 for s in own)
+    got = {r["doc_id"]: r["n_shared"] for r in jaccard_join.shared_shingles(frame, 97).collect()}
+    assert got == {i: n for i, n in want.items() if n}
+
+
 def test_components_over_tiles(docs, texts, monkeypatch):
     monkeypatch.setattr(jaccard_join, "TILE", 900)
     assert by_id(jaccard_join.jaccard_components(docs)) == brute.components(texts)

@@ -75,6 +75,13 @@ def test_near_copies_between_eight_and_nine_tenths(spark):
     assert {r["doc_id"] for r in found} == want and len(found) == len(want) and {r["source"] for r in found} == {"other"}
 
 
+def test_texts_are_joined_with_places_and_spans_only(spark):
+    """What follows a text through the cut goes with it: no third join, which would move the texts again."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    cut = corpus_pipeline.cut_repeats(spark, docs, SF_DIR)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
 def test_emptied_documents_go(spark):
     text = prose(random.Random(5), 100)
     rows = [(1, text), (2, text), (3, "\n\n" + text[:150]), (4, "\n \n")]

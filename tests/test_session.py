@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 
@@ -38,3 +39,15 @@ def test_scratch_paths_lie_in_the_shared_folder_and_are_removed(spark):
     session._remove_scratch()
     session._scratch[:] = [x for x in keep if x[1] != path]
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = manager.getAllFiles().mkString("\n").count("shuffle_")
+    rows = session.written(spark.range(5000).repartition(7, "id"), "rows")
+    for _ in range(100):
+        if manager.getAllFiles().mkString("\n").count("shuffle_") <= before:
+            break
+        time.sleep(0.1)
+    assert manager.getAllFiles().mkString("\n").count("shuffle_") <= before
+    assert rows.count() == 5000 and spark.conf.get(session.CLEANUP) == "false"
