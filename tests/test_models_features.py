@@ -319,3 +319,25 @@ def test_hashed_components_are_counted_by_slice(spark, monkeypatch):
     assert found == pytest.approx(wanted)
     dense = {r["id"]: r["embedding"] for r in features.hashed_vectors(frame, "id", "text", dim=7, stop_words=["fig"]).collect()}
     assert {(i, slot): v for i, own in dense.items() for slot, v in enumerate(own) if v} == pytest.approx(wanted)
+
+
+def test_terms_of_slices_move_packed(spark, monkeypatch):
+    """No row per term of a slice is shuffled, and limits and weights are those of brute force in one slice as in many."""
+    rows = [(i, " ".join(f"wörd{(i * j) % 29}" for j in range(i % 11)), i % 5 != 0) for i in range(150)]
+    frame = spark.createDataFrame([*rows, (150, None, True)], "id int, t string, own boolean").repartition(3)
+    held: dict = {}
+    for _, t, own in rows:
+        words = t.split()
+        for term in {*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))}:
+            held[term] = held.get(term, 0) + own
+    n = sum(own for _, _, own in rows) + 1
+    want = {t: d for t, d in held.items() if 2 <= d <= 0.3 * n}
+    for size in (1 << 23, 150):
+        monkeypatch.setattr(slices, "SLICE_BYTES", size)
+        out = terms.tfidf(frame, "id", "t", [], min_df=2, max_df=0.3, fit_where=F.col("own"))
+        assert "hashpartitioning(term" not in out._jdf.queryExecution().executedPlan().toString()
+        got = out.select("term", "df", "idf").distinct().collect()
+        assert {r["term"]: r["df"] for r in got} == want and len(got) == len(want)
+        assert all(r["idf"] == pytest.approx(math.log((n + 1) / (r["df"] + 1)) + 1, abs=1e-15) for r in got)
+    values = spark.range(1, 3000).select((F.lit(3001.0) / F.col("id")).alias("x")).select("x", F.log("x").alias("y")).collect()
+    assert slices.strict_log(np.array([r["x"] for r in values])).tolist() == [r["y"] for r in values]
