@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from jobweave.operators import models, sparse_tree
+from jobweave.operators import models, slices, sparse_tree
+from jobweave.session import shared_dir
 
 WORDS = [f"w{i}" for i in range(30)]
 
@@ -137,3 +140,17 @@ def test_slices_and_buckets_do_not_change_the_tree(spark, monkeypatch):
         model, scored = sparse_tree.fit_text_tree(frame, "id", "text", "topic", "is_train", [], 4)
         found.append((vars(model.tree), sorted(map(tuple, scored.collect()))))
     assert found[0] == found[1] and len(found[0][0]["number"]) > 3
+
+
+def test_a_fit_leaves_only_what_its_model_and_scores_read(spark):
+    """Words, terms and counts of the slices are removed, and numbers that slices work out are those of the vocabulary."""
+    shared = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    frame = spark.createDataFrame(rows(90, 8), "id long, text string, topic string")
+    trained = models.train_job_classifier(frame, "id", "text", "topic", stop_words=[])
+    assert sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before) == ["tree-rows", "vocabulary"]
+    assert trained.tables["test"].count() > 10
+    words = ["a", "ab cd", "x" * 31, "x" * 32, "é" * 40, "long " * 30, "1234567", "12345678 9"]
+    hashed = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64(F.lit(3), "w").alias("h")).collect()
+    start = spark.range(1).select(F.xxhash64(F.lit(3))).first()[0]
+    assert slices.term_numbers(pa.array([r["w"] for r in hashed]), start).tolist() == [r["h"] for r in hashed]
